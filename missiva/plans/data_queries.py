@@ -59,11 +59,11 @@ WITH RECURSIVE k AS (
 o AS (SELECT id, min(raw_id) AS p FROM k WHERE id IS NOT NULL GROUP BY id),
 l AS (SELECT k.raw_id AS v, o.p, k.named FROM k LEFT JOIN o ON k.pid = o.id),
 up AS (
-  SELECT v, p AS at, 1 AS n FROM l WHERE p IS NOT NULL
+  SELECT v, p AS anc, 1 AS n FROM l WHERE p IS NOT NULL
   UNION ALL
-  SELECT up.v, l.p, n + 1 FROM up JOIN l ON up.at = l.v WHERE l.p IS NOT NULL AND up.n < 400),
-ring AS (SELECT DISTINCT v FROM up WHERE v = at),
-low AS (SELECT ring.v, min(up.at) AS root FROM ring JOIN up ON up.v = ring.v GROUP BY ring.v)
+  SELECT up.v, l.p, n + 1 FROM up JOIN l ON up.anc = l.v WHERE l.p IS NOT NULL AND up.n < 400),
+ring AS (SELECT DISTINCT v FROM up WHERE v = anc),
+low AS (SELECT ring.v, min(up.anc) AS root FROM ring JOIN up ON up.v = ring.v GROUP BY ring.v)
 """
 
 
@@ -78,8 +78,8 @@ def oracle_sql():
         + """, looped AS (
                SELECT v, root FROM low
                UNION
-               SELECT up.v, low.root FROM up JOIN low ON up.at = low.v),
-             tops AS (SELECT v, max(n) AS depth, arg_max(at, n) AS root FROM up WHERE v NOT IN (SELECT v FROM looped) GROUP BY v)
+               SELECT up.v, low.root FROM up JOIN low ON up.anc = low.v),
+             tops AS (SELECT v, max(n) AS depth, arg_max(anc, n) AS root FROM up WHERE v NOT IN (SELECT v FROM looped) GROUP BY v)
              SELECT l.v AS raw_id, coalesce(looped.root, tops.root, l.v) AS root_id,
                     CAST(CASE WHEN looped.v IS NOT NULL THEN -1 ELSE coalesce(tops.depth, 0) END AS INTEGER) AS depth
              FROM l LEFT JOIN looped ON looped.v = l.v LEFT JOIN tops ON tops.v = l.v WHERE l.named""",

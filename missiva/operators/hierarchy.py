@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from missiva.functions.ids import canonical_id
-from missiva.session import cut
+from missiva.session import cut, drop
 
 #: Groups a parent's children are split into to link siblings.
 SALTS = 64
@@ -43,7 +43,7 @@ def _double(lists: DataFrame, done: str, sums: list[str]) -> DataFrame:
     sums are added along the way; columns named ``min_...`` take the least instead.
     """
     fold = lambda s, a, b: F.least(a, b) if s.startswith("min_") else a + b
-    now = lists
+    now, files = lists, None
     for _ in range(64):
         right = now.select(F.col("e").alias("_e"), F.col("nxt").alias("_nxt"), *[F.col(s).alias(f"_{s}") for s in sums])
         step = now.join(right, F.expr("nxt = _e"), "left").select(
@@ -53,9 +53,10 @@ def _double(lists: DataFrame, done: str, sums: list[str]) -> DataFrame:
             (F.col("_nxt").isNotNull()).alias("moved"),
         )
         step = cut(step)
-        moved = step.filter("moved").limit(1).count()
-        now = step.drop("moved")
-        if not moved:
+        if files is not None:
+            drop(files)
+        files, now = step, step.drop("moved")
+        if not step.filter("moved").limit(1).count():
             break
     return now
 

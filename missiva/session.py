@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,10 +41,30 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
+    """Cut the lineage with a table written into the shared folder; it survives the loss of executors.
+
+    A written table, unlike a checkpointed plan, carries no constraints over into the next plan,
+    which would grow with every round of a loop. instead_of: an earlier result of this function
+    that nothing reads any more; its files are removed.
+    """
+    spark = df.sparkSession
+    where = f"{shared_dir(spark).rstrip('/')}/missiva-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(where)
+    out = spark.read.schema(df.schema).parquet(where)
+    out._missiva_files = where
+    if instead_of is not None:
+        drop(instead_of)
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Remove the files behind a result of ``cut``."""
+    where = getattr(df, "_missiva_files", None)
+    if where:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(where)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

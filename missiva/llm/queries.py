@@ -2,10 +2,30 @@
 
 from __future__ import annotations
 
-from missiva.llm import encoding, mixing, residue, tokens
+from missiva.llm import encoding, history, language, mixing, residue, tokens
 from missiva.session import table
 
 
+def p1_found(spark, d):
+    return history.lines_not_new(table(spark, d, "messages")).select("ingest_seq", "line_no")
+
+
+def p1_clean(spark, d):
+    return history.newly_written(table(spark, d, "messages"))
+
+
+def p6_found(spark, d):
+    return language.mislabelled(table(spark, d, "messages"))
+
+
+def p6_segments(spark, d):
+    return language.text_segments(table(spark, d, "messages"))
+
+
+def p6_language(spark, d):
+    return language.text_language(table(spark, d, "messages"))
+
+
 def p3_found(spark, d):
     return encoding.find_garbled(table(spark, d, "emails_raw")).select("row_id", "field")
 
@@ -38,7 +58,7 @@ def p10_kept(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p3_found, p3_restored, p8_ids, p9_mix, p9_shares, p10_found, p10_kept)}
+    return {f.__name__: f for f in (p1_found, p1_clean, p6_found, p6_segments, p6_language, p3_found, p3_restored, p8_ids, p9_mix, p9_shares, p10_found, p10_kept)}
 
 
 def oracle_sql():

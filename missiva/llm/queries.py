@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from missiva.llm import encoding, history, language, mixing, residue, tokens
+from missiva.llm import encoding, history, language, mixing, personal, residue, tokens
 from missiva.session import table
 
 
@@ -14,6 +14,14 @@ def p1_clean(spark, d):
     return history.newly_written(table(spark, d, "messages"))
 
 
+def p2_found(spark, d):
+    return personal.personal_items(table(spark, d, "messages")).drop("end_at")
+
+
+def p2_redacted(spark, d):
+    return personal.redacted(table(spark, d, "messages"))
+
+
 def p6_found(spark, d):
     return language.mislabelled(table(spark, d, "messages"))
 
@@ -58,7 +66,7 @@ def p10_kept(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_clean, p6_found, p6_segments, p6_language, p3_found, p3_restored, p8_ids, p9_mix, p9_shares, p10_found, p10_kept)}
+    return {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_redacted, p6_found, p6_segments, p6_language, p3_found, p3_restored, p8_ids, p9_mix, p9_shares, p10_found, p10_kept)}
 
 
 def oracle_sql():

@@ -22,7 +22,7 @@ def render_email(label: Column, max_body: int = MAX_BODY) -> Column:
     return F.concat_ws("\n", label, *[line(n, v) for n, v in fields], F.lit(""), F.lit("Body:"), F.when(body == "", "[empty body]").otherwise(body), F.lit(""), F.lit(RULE), F.lit(""))
 
 
-def included(mail: DataFrame) -> Column:
+def included() -> Column:
     """Not filtered, no system noise, with a topic."""
     return (F.lower(F.coalesce("is_filtered", F.lit("false"))) != "true") & ~F.coalesce("is_system_noise", F.lit(False)) & (T.strip(F.coalesce("knowledge_topic", F.lit(""))) != "")
 
@@ -56,7 +56,7 @@ def greedy_parts(rows: DataFrame, group: str, order: list, size: str, max_size:
 
 def pack(mail: DataFrame, max_chars: int = MAX_CHARS, max_emails: int = MAX_EMAILS, max_body: int = MAX_BODY) -> DataFrame:
     """``(knowledge_topic, ingest_seq, part, place, chars)`` of the mails that are packed."""
-    rows = mail.filter(included(mail)).select("knowledge_topic", "date_sort", "message_id", "ingest_seq", F.length(render_email(F.lit("EMAIL"), max_body)).alias("chars"))
+    rows = mail.filter(included()).select("knowledge_topic", "date_sort", "message_id", "ingest_seq", F.length(render_email(F.lit("EMAIL"), max_body)).alias("chars"))
     return greedy_parts(rows, "knowledge_topic", [F.asc_nulls_last("date_sort"), "message_id", "ingest_seq"], "chars", max_chars, max_emails).select("knowledge_topic", "ingest_seq", "part", "place", "chars")
 
 

@@ -19,6 +19,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once; the optimizer would copy a plain column into each of its uses."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(col(c), rf"\A[{WS}]+|[{WS}]+\z", "")
@@ -161,4 +166,4 @@ def stable_hash(*parts: Column) -> Column:
 
 def iso_week(ts: Column | str) -> Column:
     t = col(ts)
-    return F.format_string("%d-W%02d", F.extract(F.lit("YEAROFWEEK"), t), F.weekofyear(t))
+    return F.when(t.isNotNull(), F.format_string("%d-W%02d", F.extract(F.lit("YEAROFWEEK"), t), F.weekofyear(t)))

@@ -47,23 +47,31 @@ def _clean(word: str) -> str:
     return " ".join("".join(c if c.isalnum() or c in "_ \n" or "֐" <= c <= "׿" else " " for c in word.lower()).split())
 
 
-def with_search_texts(mail: DataFrame) -> DataFrame:
-    """Add ``_subject, _body, _folder, _sender, _all``, each computed once."""
+def search_texts() -> Column:
+    """A struct ``subject, body, folder, sender, all`` of a mail's search texts."""
     body = F.coalesce(F.nullif(F.col("clean_body"), F.lit("")), F.col("body"))
-    out = mail.withColumns({"_subject": T.search_text(T.normalize_subject("subject")), "_body": T.search_text(body), "_folder": T.search_text("folder_path"), "_sender": T.search_text("from_email")})
-    parts = F.array(*[F.nullif(c, F.lit("")) for c in (F.col("_subject"), F.substring("_body", 1, 6000), F.col("_folder"), F.col("_sender"))])
-    return out.withColumn("_all", F.array_join(F.array_compact(parts), " "))
+    base = F.struct(T.search_text(T.normalize_subject("subject")).alias("subject"), T.search_text(body).alias("body"), T.search_text("folder_path").alias("folder"), T.search_text("from_email").alias("sender"))
 
+    def joined(x: Column) -> Column:
+        parts = F.array(*[F.nullif(c, F.lit("")) for c in (x["subject"], F.substring(x["body"], 1, 6000), x["folder"], x["sender"])])
+        return F.struct(*[x[k].alias(k) for k in ("subject", "body", "folder", "sender")], F.array_join(F.array_compact(parts), " ").alias("all"))
 
-def _points(word: Column, phrase: Column | None, subject: float, folder: float, body: float, anywhere: float) -> Column:
-    """Points of one keyword; none where it is null."""
-    at = lambda c, p: F.when(F.contains(F.col(c), word), p).otherwise(F.lit(0.0))
+    return T.let(base, joined)
+
+
+def is_noise(x: Column) -> Column:
+    return system_noise(x["subject"], x["body"], x["folder"], x["sender"])
+
+
+def _points(x: Column, word: Column, phrase: Column | None, subject: float, folder: float, body: float, anywhere: float) -> Column:
+    """Points of one keyword in the search texts ``x``."""
+    at = lambda k, p: F.when(F.contains(x[k], word), p).otherwise(F.lit(0.0))
     first = F.lit(subject) if phrase is None else F.lit(subject) + F.when(phrase, F.lit(PHRASE)).otherwise(F.lit(0.0))
-    return F.when(F.contains(F.col("_subject"), word), first).otherwise(F.lit(0.0)) + at("_folder", F.lit(folder)) + at("_body", F.lit(body)) + (at("_all", F.lit(anywhere)) if anywhere else F.lit(0.0))
+    return at("subject", first) + at("folder", F.lit(folder)) + at("body", F.lit(body)) + (at("all", F.lit(anywhere)) if anywhere else F.lit(0.0))
 
 
-def rule_scores(rules: list[Rule] = RULES) -> Column:
-    """An array with a struct ``name, ord, priority, score, matched, subtopic`` of each rule."""
+def rule_scores(x: Column, rules: list[Rule] = RULES) -> Column:
+    """An array with a struct ``name, ord, priority, score, matched, subtopic`` of each rule, from the search texts ``x``."""
     out = []
     for k, r in enumerate(rules):
         words = [(w, _clean(w)) for w in r.keywords if _clean(w)]
@@ -71,21 +79,20 @@ def rule_scores(rules: list[Rule] = RULES) -> Column:
         if words:
             each = F.transform(
                 F.array(*[F.struct(F.lit(w).alias("w"), F.lit(n).alias("n"), F.lit(" " in n).alias("p")) for w, n in words]),
-                lambda x: F.struct(x["w"].alias("w"), _points(x["n"], x["p"], SUBJECT, FOLDER, BODY, ANYWHERE).alias("s")),
+                lambda k: F.struct(k["w"].alias("w"), _points(x, k["n"], k["p"], SUBJECT, FOLDER, BODY, ANYWHERE).alias("s")),
             )
-            hits = F.filter(each, lambda x: x["s"] > 0)
-            score = score + F.aggregate(hits, F.lit(0.0), lambda a, x: a + x["s"])
-            matched = F.transform(hits, lambda x: x["w"])
+            hits = F.filter(each, lambda k: k["s"] > 0)
+            score = score + F.aggregate(hits, F.lit(0.0), lambda a, k: a + k["s"])
+            matched = F.transform(hits, lambda k: k["w"])
         if r.excluded:
-            score = score - F.size(F.filter(F.array(*[F.lit(_clean(w)) for w in r.excluded]), lambda w: F.contains(F.col("_all"), w))) * EXCLUDED
+            score = score - F.size(F.filter(F.array(*[F.lit(_clean(w)) for w in r.excluded]), lambda w: F.contains(x["all"], w))) * EXCLUDED
         subtopic = F.lit("")
         if r.subtopics:
             subs = F.transform(
                 F.array(*[F.struct(F.lit(-i).alias("o"), F.lit(n).alias("name"), F.array(*[F.lit(_clean(w)) for w in ws if _clean(w)]).alias("ws")) for i, (n, ws) in enumerate(r.subtopics)]),
-                lambda x: F.struct(F.aggregate(x["ws"], F.lit(0.0), lambda a, w: a + _points(w, None, SUB_SUBJECT, SUB_FOLDER, SUB_BODY, 0.0)).alias("s"), x["o"].alias("o"), x["name"].alias("name")),
+                lambda t: F.struct(F.aggregate(t["ws"], F.lit(0.0), lambda a, w: a + _points(x, w, None, SUB_SUBJECT, SUB_FOLDER, SUB_BODY, 0.0)).alias("s"), t["o"].alias("o"), t["name"].alias("name")),
             )
-            best = F.array_max(subs)
-            subtopic = F.when(best["s"] > 0, best["name"]).otherwise(F.lit(""))
+            subtopic = T.let(F.array_max(subs), lambda best: F.when(best["s"] > 0, best["name"]).otherwise(F.lit("")))
         out.append(F.struct(F.lit(r.name).alias("name"), F.lit(k).alias("ord"), F.lit(r.priority).alias("priority"), score.alias("score"), matched.alias("matched"), subtopic.alias("subtopic")))
     return F.array(*out)
 
@@ -108,16 +115,20 @@ def classify(mail: DataFrame, mode: str = "rules", rules: list[Rule] = RULES, mi
     llm = lambda c: T.normalize_whitespace(F.coalesce(F.col(c), F.lit("")))
     if "llm_confidence" not in mail.columns:
         mail = mail.withColumn("llm_confidence", F.lit(None).cast("double"))
-    rows = with_search_texts(mail).withColumn("_noise", system_noise(F.col("_subject"), F.col("_body"), F.col("_folder"), F.col("_sender")))
-    rows = rows.withColumn("_rules", F.when(~F.col("_noise"), rule_scores(rules)))
-    rows = rows.withColumn("_best", F.array_max(F.transform("_rules", lambda x: F.struct(x["score"].alias("score"), x["priority"].alias("priority"), (-x["ord"]).alias("o"), x["name"].alias("name"), x["matched"].alias("matched"), x["subtopic"].alias("subtopic")))))
-    best, review = F.col("_best"), F.col("_best.score") < min_score
     llm_sub = T.strip(F.coalesce(F.col("llm_subtopic"), F.lit("")))
-    by_rule = F.struct(
-        F.when(review, MANUAL).otherwise(best["name"]).alias("topic"),
-        F.coalesce(F.when(~review, F.nullif(best["subtopic"], F.lit(""))), F.nullif(llm_sub, F.lit("")), fallback_subtopic(F.col("subject"), best["matched"])).alias("subtopic"),
-        F.when(review, F.greatest(best["score"], F.lit(0.0))).otherwise(best["score"]).alias("score"), best["matched"].alias("matched"), review.alias("review"), F.lit("rules").alias("mode"),
-    )
+
+    def by_rule(x: Column) -> Column:
+        def told(best: Column) -> Column:
+            review = best["score"] < min_score
+            return F.struct(
+                F.when(review, MANUAL).otherwise(best["name"]).alias("topic"),
+                F.coalesce(F.when(~review, F.nullif(best["subtopic"], F.lit(""))), F.nullif(llm_sub, F.lit("")), fallback_subtopic(F.col("subject"), best["matched"])).alias("subtopic"),
+                F.when(review, F.greatest(best["score"], F.lit(0.0))).otherwise(best["score"]).alias("score"), best["matched"].alias("matched"), review.alias("review"), F.lit("rules").alias("mode"),
+            )
+
+        ranked = F.transform(rule_scores(x, rules), lambda r: F.struct(r["score"].alias("score"), r["priority"].alias("priority"), (-r["ord"]).alias("o"), r["name"].alias("name"), r["matched"].alias("matched"), r["subtopic"].alias("subtopic")))
+        return T.let(F.array_max(ranked), told)
+
     none = F.array().cast("array<string>")
 
     def named(topic: Column, mode: str, score: Column) -> Column:
@@ -125,20 +136,20 @@ def classify(mail: DataFrame, mode: str = "rules", rules: list[Rule] = RULES, mi
 
     some = lambda c: F.nullif(c, F.lit(""))
     if mode == "llm":
-        match = named(F.coalesce(some(llm("llm_topic")), some(llm("cluster_name")), F.lit(MANUAL)), "llm", F.lit(1.0))
+        match = lambda x: named(F.coalesce(some(llm("llm_topic")), some(llm("cluster_name")), F.lit(MANUAL)), "llm", F.lit(1.0))
     elif mode == "cluster":
-        match = named(F.coalesce(some(llm("cluster_name")), some(llm("llm_topic")), F.lit(MANUAL)), "cluster", F.lit(1.0))
+        match = lambda x: named(F.coalesce(some(llm("cluster_name")), some(llm("llm_topic")), F.lit(MANUAL)), "cluster", F.lit(1.0))
     elif mode == "hybrid":
         sure = (llm("llm_topic") != "") & (T.as_float(F.col("llm_confidence").cast("string")) >= HYBRID_CONFIDENCE)
-        match = F.when(sure, named(llm("llm_topic"), "llm", T.as_float(F.col("llm_confidence").cast("string")))).otherwise(by_rule)
+        match = lambda x: F.when(sure, named(llm("llm_topic"), "llm", T.as_float(F.col("llm_confidence").cast("string")))).otherwise(by_rule(x))
     else:
         match = by_rule
     noise = F.struct(F.lit(NOISE).alias("topic"), F.lit(NOISE_SUB).alias("subtopic"), F.lit(0.0).alias("score"), none.alias("matched"), F.lit(False).alias("review"), F.lit("rules").alias("mode"))
-    rows = rows.withColumn("_m", F.when(F.col("_noise"), noise).otherwise(match))
+    rows = mail.withColumn("_m", T.let(search_texts(), lambda x: F.when(is_noise(x), noise).otherwise(match(x))))
     return rows.withColumns({
         "knowledge_topic": F.col("_m.topic"), "knowledge_subtopic": F.col("_m.subtopic"), "knowledge_score": F.col("_m.score"), "knowledge_matched_terms": F.array_join("_m.matched", "; "),
-        "knowledge_mode": F.col("_m.mode"), "knowledge_review_required": F.col("_m.review"), "is_system_noise": F.col("_noise"), "body_for_pack": F.coalesce(F.nullif(F.col("clean_body"), F.lit("")), F.col("body")),
-    }).drop("_subject", "_body", "_folder", "_sender", "_all", "_noise", "_rules", "_best", "_m")
+        "knowledge_mode": F.col("_m.mode"), "knowledge_review_required": F.col("_m.review"), "is_system_noise": F.col("_m.topic") == NOISE, "body_for_pack": F.coalesce(F.nullif(F.col("clean_body"), F.lit("")), F.col("body")),
+    }).drop("_m")
 
 
 def hits_topic(topics: dict[str, list[str]], subject: Column, text: Column, default: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from missiva.functions.text import WS, normalize_whitespace, strip
+from missiva.functions.text import WS, let, normalize_whitespace, strip
 
 # Lines that begin quoted history, lines that begin a signature, marks of quotation.
 REPLY_LINES = (
@@ -30,16 +30,16 @@ def clean(body: Column | str) -> Column:
             n = F.size(rest)
             signed = F.array_max(F.filter(F.transform(rest, lambda x, i: F.when((i >= n - 12) & strip(x).rlike(SIGNATURE_LINES), i)), lambda i: i.isNotNull()))
             text = normalize_whitespace(F.array_join(F.when(signed.isNull(), rest).otherwise(F.slice(rest, F.lit(1), signed)), "\n"))
-            return F.transform(
-                F.array(text),
+            return let(
+                text,
                 lambda t: F.struct(
                     t.alias("text"),
                     (quoted | (F.length(t) < F.greatest(F.lit(80.0), F.length(src) * 0.25))).alias("mostly_quoted"),
                     F.array_compact(F.array(F.when(cut > 0, "reply_history_removed"), F.when(signed.isNotNull(), "signature_removed"))).alias("notes"),
                 ),
-            )[0]
+            )
 
-        return F.transform(F.array(kept), sign)[0]
+        return let(kept, sign)
 
     empty = F.struct(F.lit("").alias("text"), F.lit(False).alias("mostly_quoted"), F.array(F.lit("empty_body")).alias("notes"))
-    return F.transform(F.array(source), lambda src: F.when(src == "", empty).otherwise(build(src)))[0]
+    return let(source, lambda src: F.when(src == "", empty).otherwise(build(src)))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from missiva.functions.text import let
+
 # Names of months and days, zone names of RFC 822 and their offsets in minutes.
 MONTHS_EN = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 MONTHS_HE = ["ינואר", "פברואר", "מרץ", "אפריל", "מאי", "יוני", "יולי", "אוגוסט", "ספטמבר", "אוקטובר", "נובמבר", "דצמבר"]
@@ -111,11 +113,6 @@ def _seconds(text: Column) -> Column:
     return F.when((us >= LEAST_US) & (us < MOST_US), us)
 
 
-def _let(value: Column, body) -> Column:
-    """body(value), with value computed once; the optimizer would copy a plain column into each use."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _local_us(got: Column) -> Column:
     """Microseconds of the local time read; null where there is no such day or time of day."""
     year, hour = _int(got[0]), _int(got[3])
@@ -147,10 +144,10 @@ def instant_us(c: Column, zone: Column, month_first: Column, ambiguous: str = "e
             stated = F.nullif(got[8], F.lit(""))
             return F.when(stated.isNull(), _local_to_utc(local, tz, ambiguous, skipped)).otherwise(local - _zone_us(stated))
 
-        return _let(_local_us(got), at)
+        return let(_local_us(got), at)
 
     mdy = F.coalesce(month_first, F.lit(False))
-    return _let(tidy(c), lambda t: F.when(t.rlike(r"^[\d.]+$") & _seconds(t).isNotNull(), _seconds(t)).otherwise(_let(parts(t, mdy), placed)))
+    return let(tidy(c), lambda t: F.when(t.rlike(r"^[\d.]+$") & _seconds(t).isNotNull(), _seconds(t)).otherwise(let(parts(t, mdy), placed)))
 
 
 def add_instants(df: DataFrame, fields: list[str], zone: Column, month_first: Column, ambiguous: str = "earlier", skipped: str = "before", suffix: str = "_us") -> DataFrame:

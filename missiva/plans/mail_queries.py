@@ -10,7 +10,7 @@ from missiva.operators import classify as C
 from missiva.operators import learning as L
 from missiva.operators import packing as P
 from missiva.operators.cleaning import clean
-from missiva.session import table
+from missiva.session import cut, table
 
 TOPICS = {r.name: r.keywords for r in C.RULES}
 #: Bounds small enough that the test tables fill several parts.
@@ -178,8 +178,7 @@ def filter_reason_counts(spark, d):
 
 
 def system_noise_rules(spark, d):
-    rows = C.with_search_texts(_mail(spark, d))
-    return rows.select("ingest_seq", A.system_noise(F.col("_subject"), F.col("_body"), F.col("_folder"), F.col("_sender")).alias("value"))
+    return _mail(spark, d).select("ingest_seq", T.let(C.search_texts(), C.is_noise).alias("value"))
 
 
 def detect_language(spark, d):
@@ -313,7 +312,7 @@ def search_ranked(spark, d):
 
 
 def rule_scores(spark, d):
-    rows = C.with_search_texts(_mail(spark, d)).select("ingest_seq", F.explode(C.rule_scores()).alias("r"))
+    rows = _mail(spark, d).select("ingest_seq", F.explode(T.let(C.search_texts(), lambda x: C.rule_scores(x))).alias("r"))
     return rows.select("ingest_seq", F.col("r.name").alias("rule"), "r.score", F.array_join("r.matched", ";").alias("matched"), "r.subtopic")
 
 
@@ -343,7 +342,7 @@ def pack_excluded(spark, d):
 
 
 def _packed(spark, d):
-    mail = _classified(spark, d)
+    mail = cut(_classified(spark, d))  # read several times below
     return mail, P.pack(mail, PART_CHARS, PART_EMAILS, PART_BODY)
 
 

@@ -244,7 +244,6 @@ def parse_files(files: DataFrame, source_pst: str | None = None) -> DataFrame:
                 where = {"source_pst": source_pst or clean.split("/")[-3] if clean.count("/") > 2 else source_pst, "source_folder": clean.rsplit("/", 2)[-2] if "/" in clean else "", "eml_path": clean}
                 rows += parse(content or b"", where)
             out = pd.DataFrame(rows, columns=names).astype(object)
-            out["internet_headers"] = out["internet_headers"].map(lambda h: list(h.items()) if isinstance(h, dict) else None)
             out = out.where(out.notna(), None)
             yield out
 

@@ -167,7 +167,7 @@ def test_personal_items(spark):
         "Hi Dana,\n\nI will mark the file in April. My identity number is 683 000 806. Call me on 052-555-0140 or (212) 555-0135.", "Ticket 683000806 is open. Write to dana.morvane@x.example or mark [at] x [dot] example.",
         "The member is Mark Orvelin, ID 683000806, living at 50 Juniper Avenue, Apt 25B, Fairhollow 12187.", "Policy 6-5909-34452 was moved on 11/21/2024, amount 60,809.", "נא לשלוח אל רח' האורנים 56, דירה 15, נווה שקמה.\n\nApril,\n\nthanks",
     ]
-    rows = [(k, lines[k % 5], "Retirement file of Dana Morvane" if k % 7 == 0 else None, *people[k % 6]) for k in range(300)] + [(900, None, None, None, None), (901, "", "", None, None)]
+    rows = [(k, lines[k % 5] + "\n\n" + "v" * k, "Retirement file of Dana Morvane" if k % 7 == 0 else None, *people[k % 6]) for k in range(300)] + [(900, None, None, None, None), (901, "", "", None, None)]
     df = spark.createDataFrame([(k, b, s, n, f"{e}@x.example" if e else None, "clash", 1) for k, b, s, n, e in rows], "ingest_seq long, body_text_raw string, subject_raw string, sender_name string, sender_email string, field string, start_at int")
     finder = P.fit_finder(df)
     got = {}
@@ -182,5 +182,5 @@ def test_personal_items(spark):
     assert got[7, "subject_raw"] == {("name", 19)}
     red = {r.ingest_seq: r for r in P.redacted(df, finder).collect()}
     assert red[7].subject_redacted == "Retirement file of [NAME]" and red[900].body_text_redacted is None and red[901].body_text_redacted == ""
-    assert red[1].body_text_redacted == "Ticket 683000806 is open. Write to [EMAIL] or [EMAIL]."
+    assert red[1].body_text_redacted == "Ticket 683000806 is open. Write to [EMAIL] or [EMAIL].\n\nv"
     assert P.personal_items(df.limit(0), P.fit_finder(df.limit(0))).count() == 0

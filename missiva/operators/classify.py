@@ -70,20 +70,23 @@ def _points(x: Column, word: Column, phrase: Column | None, subject: float, fold
     return at("subject", first) + at("folder", F.lit(folder)) + at("body", F.lit(body)) + (at("all", F.lit(anywhere)) if anywhere else F.lit(0.0))
 
 
+def _one(f):
+    """f as a function of one argument only; higher-order functions count the arguments."""
+    return lambda t: f(t)
+
+
 def rule_scores(x: Column, rules: list[Rule] = RULES) -> Column:
     """An array with a struct ``name, ord, priority, score, matched, subtopic`` of each rule, from the search texts ``x``."""
     out = []
     for k, r in enumerate(rules):
         words = [(w, _clean(w)) for w in r.keywords if _clean(w)]
-        score, matched = F.lit(float(r.priority)), F.array().cast("array<string>")
+        score, total = F.lit(float(r.priority)), F.struct(F.lit(0.0).alias("s"), F.array().cast("array<string>").alias("m"))
         if words:
             each = F.transform(
                 F.array(*[F.struct(F.lit(w).alias("w"), F.lit(n).alias("n"), F.lit(" " in n).alias("p")) for w, n in words]),
                 lambda k: F.struct(k["w"].alias("w"), _points(x, k["n"], k["p"], SUBJECT, FOLDER, BODY, ANYWHERE).alias("s")),
             )
-            hits = F.filter(each, lambda k: k["s"] > 0)
-            score = score + F.aggregate(hits, F.lit(0.0), lambda a, k: a + k["s"])
-            matched = F.transform(hits, lambda k: k["w"])
+            total = T.let(F.filter(each, lambda k: k["s"] > 0), lambda hits: F.struct(F.aggregate(hits, F.lit(0.0), lambda a, k: a + k["s"]).alias("s"), F.transform(hits, lambda k: k["w"]).alias("m")))
         if r.excluded:
             score = score - F.size(F.filter(F.array(*[F.lit(_clean(w)) for w in r.excluded]), lambda w: F.contains(x["all"], w))) * EXCLUDED
         subtopic = F.lit("")
@@ -93,7 +96,11 @@ def rule_scores(x: Column, rules: list[Rule] = RULES) -> Column:
                 lambda t: F.struct(F.aggregate(t["ws"], F.lit(0.0), lambda a, w: a + _points(x, w, None, SUB_SUBJECT, SUB_FOLDER, SUB_BODY, 0.0)).alias("s"), t["o"].alias("o"), t["name"].alias("name")),
             )
             subtopic = T.let(F.array_max(subs), lambda best: F.when(best["s"] > 0, best["name"]).otherwise(F.lit("")))
-        out.append(F.struct(F.lit(r.name).alias("name"), F.lit(k).alias("ord"), F.lit(r.priority).alias("priority"), score.alias("score"), matched.alias("matched"), subtopic.alias("subtopic")))
+
+        def filled(t: Column, r: Rule = r, k: int = k, score: Column = score, subtopic: Column = subtopic) -> Column:
+            return F.struct(F.lit(r.name).alias("name"), F.lit(k).alias("ord"), F.lit(r.priority).alias("priority"), (score + t["s"]).alias("score"), t["m"].alias("matched"), subtopic.alias("subtopic"))
+
+        out.append(T.let(total, _one(filled)))
     return F.array(*out)
 
 
@@ -145,7 +152,9 @@ def classify(mail: DataFrame, mode: str = "rules", rules: list[Rule] = RULES, mi
     else:
         match = by_rule
     noise = F.struct(F.lit(NOISE).alias("topic"), F.lit(NOISE_SUB).alias("subtopic"), F.lit(0.0).alias("score"), none.alias("matched"), F.lit(False).alias("review"), F.lit("rules").alias("mode"))
-    rows = mail.withColumn("_m", T.let(search_texts(), lambda x: F.when(is_noise(x), noise).otherwise(match(x))))
+    # The condition is always true; being non-deterministic it keeps later filters from copying the whole classification into themselves.
+    once = F.monotonically_increasing_id() >= 0
+    rows = mail.withColumn("_m", F.when(once, T.let(search_texts(), lambda x: F.when(is_noise(x), noise).otherwise(match(x)))))
     return rows.withColumns({
         "knowledge_topic": F.col("_m.topic"), "knowledge_subtopic": F.col("_m.subtopic"), "knowledge_score": F.col("_m.score"), "knowledge_matched_terms": F.array_join("_m.matched", "; "),
         "knowledge_mode": F.col("_m.mode"), "knowledge_review_required": F.col("_m.review"), "is_system_noise": F.col("_m.topic") == NOISE, "body_for_pack": F.coalesce(F.nullif(F.col("clean_body"), F.lit("")), F.col("body")),

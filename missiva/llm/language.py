@@ -14,6 +14,9 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from missiva.llm.samples import most_frequent
+from missiva.session import cut
+
 LANGS = ["en", "he", "ru", "ar", "fr", "de", "es", "pt"]
 #: Words the model keeps of all languages together, the most frequent first.
 VOCABULARY = 200_000
@@ -33,6 +36,8 @@ _SCRIPTS = [("he", re.compile("[א-ת]")), ("ru", re.compile("[Ѐ-ӿ]")), ("ar",
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _SKIP = re.compile(r"\S+@\S+|https?://\S+|www\.\S+|\S*\d\S*")
 _PREFIX = re.compile(r"^\s*(?:[>|]\s?)*")
+# Names of header fields that may stand in a text; such a line is no part of a sentence.
+_HEADER = re.compile(r"^\**(?:From|Sent|To|Cc|Bcc|Date|Subject|De|Envoyé|À|Objet|Von|Gesendet|An|Betreff|Datum|Para|Fecha|Asunto|Assunto|Enviado|Enviada|Data|От|Кому|Дата|Тема|Отправлено|מאת|נשלח|אל|נושא|من|إلى|الموضوع|التاريخ)\s?:\**(?:\s|$)")
 #: A sentence ends with these, but not at an initial or a common abbreviation.
 _END = re.compile(r"(?<![\s(][A-ZА-Я])(?<!\bSt)(?<!\bext)(?<!\bTel)(?<!\bDr)(?<!\bMr)(?<!\bno)(?<!\bNo)[.!?;؟…。][\"'»”)\]]*(?=\s|$)")
 #: A statement that ends with the number or address it points to, without a full stop.
@@ -89,7 +94,12 @@ def segments(text: str) -> list[tuple[int, int, str, bool]]:
         if not body or prefix.strip() != mark:
             close()
         if body:
+            header = _HEADER.match(body) is not None
+            if header:
+                close()
             para.append((at + len(prefix), body))
+            if header:
+                close()
         mark = prefix.strip()
         at += len(line) + 1
     close()
@@ -209,8 +219,8 @@ class LanguageModel:
 
 def fit_languages(texts: DataFrame, vocabulary: int = VOCABULARY) -> LanguageModel:
     """Count the words of every text of ``texts(text)``; the driver gets the ``vocabulary`` most frequent."""
-    counts = texts.select("text").mapInArrow(_count, "lang int, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    return LanguageModel([(r.lang, r.word, r.n) for r in counts.orderBy(F.desc("n"), "lang", "word").limit(vocabulary).collect()])
+    counts = cut(texts.select("text").mapInArrow(_count, "lang int, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    return LanguageModel([(r.lang, r.word, r.n) for r in most_frequent(counts, "n", vocabulary).collect()])
 
 
 class Judge:

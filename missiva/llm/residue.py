@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from missiva.llm.samples import hash_sample
+
 #: Width of the hashed feature space, and the bound of the sample that is labelled.
 WIDTH, SAMPLE_ROWS, CONTENT_UNITS = 1 << 16, 20_000, 20_000
 
@@ -163,7 +165,8 @@ def fit_residue(docs: DataFrame, text_col: str = "text", host_col: str = "sender
     ``report`` has precision and recall on them against the weak labels.
     """
     host = F.substring_index(F.coalesce(F.col(f"`{host_col}`"), F.lit("")), "@", -1)
-    got = docs.filter(F.length(F.trim(F.col(f"`{text_col}`"))) > 0).select(F.col(f"`{text_col}`").alias("text"), host.alias("host"), F.xxhash64(key).alias("_h")).orderBy("_h").limit(sample_rows).toPandas()
+    known = docs.filter(F.length(F.trim(F.col(f"`{text_col}`"))) > 0).select(F.col(f"`{text_col}`").alias("text"), host.alias("host"), F.col(f"`{key}`").alias("_key"))
+    got = hash_sample(known, sample_rows, "_key").toPandas().sort_values("_key", kind="stable")
     counts: dict[tuple[str, bool, bool], int] = {}
     shown: dict[tuple[str, bool, bool], str] = {}
     for text, h in zip(got["text"], got["host"]):

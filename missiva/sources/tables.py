@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\x00"}
+CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\x00", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 BOM = "﻿"
 
 
@@ -39,7 +39,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of CSV files, all cells quoted."""
-    flat(df).write.mode("overwrite").options(header=True, quoteAll=True, escape='"', emptyValue="").csv(path)
+    flat(df).write.mode("overwrite").options(header=True, quoteAll=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def export_csv(df: DataFrame, file: str) -> str:

@@ -38,6 +38,8 @@ PLACEHOLDERS = [
     ("hebrew", r"\[[א-ת]+(?:[_ ][א-ת]+){0,3}\]"),
     ("index", r"(?<![\w$\[{(:\"])\{\d{1,2}\}(?!\w)"),
 ]
+#: Every mark holds one of these; most units hold none.
+_HINT = re.compile(r"[{}$%\[\]<>(*|«#@_]|&lt;|X{3}|TBC_")
 _PLACES = re.compile("|".join(f"(?P<{n}>{p})" for n, p in PLACEHOLDERS))
 
 # Phrases of pages and programs that stand in place of content.
@@ -89,7 +91,7 @@ def units(text: str, longest: int = 160) -> list[str]:
 
 def weak_label(unit: str) -> int | None:
     """1: residue, 0: content, None: no rule is sure (a phrase of an error within someone's words)."""
-    hit = bool(_PLACES.search(unit) or _PHRASES.search(unit))
+    hit = bool(_HINT.search(unit) and _PLACES.search(unit) or _PHRASES.search(unit))
     if TALK.search(unit):
         return 0
     return int(hit)
@@ -101,10 +103,11 @@ def _hash(s: str) -> int:
 
 def features(unit: str, first: bool) -> list[int]:
     """Hashed features of a unit: word uni- and bigrams, marks of places, length, title."""
-    names = {f"mark:{m.lastgroup}" for m in _PLACES.finditer(unit)}
+    names = {f"mark:{m.lastgroup}" for m in _PLACES.finditer(unit)} if _HINT.search(unit) else set()
+    bare = unit
     if names:
         names.add("mark")
-    bare = _PLACES.sub(" PLACE ", unit)
+        bare = _PLACES.sub(" PLACE ", unit)
     words = [_NUM.sub("0", w.lower()) for w in _WORD.findall(bare)[:400]]
     names.update("w:" + w for w in words)
     names.update(f"b:{a} {b}" for a, b in zip(["^", *words], [*words, "$"]))

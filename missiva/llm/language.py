@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from missiva.llm.samples import most_frequent
-from missiva.session import cut
+from missiva.session import cut, drop
 
 LANGS = ["en", "he", "ru", "ar", "fr", "de", "es", "pt"]
 #: Words the model keeps of all languages together, the most frequent first.
@@ -220,7 +220,9 @@ class LanguageModel:
 def fit_languages(texts: DataFrame, vocabulary: int = VOCABULARY) -> LanguageModel:
     """Count the words of every text of ``texts(text)``; the driver gets the ``vocabulary`` most frequent."""
     counts = cut(texts.select("text").mapInArrow(_count, "lang int, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    return LanguageModel([(r.lang, r.word, r.n) for r in most_frequent(counts, "n", vocabulary).collect()])
+    kept = [(r.lang, r.word, r.n) for r in most_frequent(counts, "n", vocabulary).collect()]
+    drop(counts)
+    return LanguageModel(kept)
 
 
 class Judge:

@@ -10,18 +10,25 @@ with the endings the sender uses again and again.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import OrderedDict
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from missiva.session import cut
+
 #: Shortest inherited run, in words.
 INHERITED_WORDS = 30
 #: Messages an automaton holds at most; a longer thread goes on with the last half of them.
 THREAD_WINDOW = 400
 #: A thread with more than this share of all rows is cut by months, each with the month before as context.
 HOT_SHARE = 0.001
+#: A line is an ending of its sender when it stands among the last ENDING_LINES lines of new text in so many of the sender's distinct bodies and in this share of them.
+ENDING_BODIES, ENDING_SHARE, ENDING_LINES = 3, 0.1, 9
+#: Parts into which the rows of one sender are split where endings are joined.
+SALTS = 16
 
 # ---- forms of quotations. Words that introduce them, in several languages.
 _DATE = r"(?:\d{1,4}[./-]\d{1,2}[./-]\d{1,4}|\d{1,2}\.? [^\W\d]{3,10}\.?,? \d{4}|[^\W\d]{3,10}\.? \d{1,2}(?:st|nd|rd|th)?,? \d{4})"
@@ -240,8 +247,8 @@ class Labels:
             else:
                 i += 1
 
-    def signatures(self) -> None:
-        """The end of each stretch of new lines."""
+    def stretches(self):
+        """First and last visible line of each stretch of new lines."""
         n, i = len(self.lines), 0
         while i < n:
             if self.label[i] != NEW or not self.seen[i]:
@@ -250,15 +257,23 @@ class Labels:
             j = i
             while j < n and (self.label[j] == NEW or not self.seen[j]):
                 j += 1
-            last = max(k for k in range(i, j) if self.seen[k] and self.label[k] == NEW)
-            self._sign(i, last)
+            yield i, max(k for k in range(i, j) if self.seen[k] and self.label[k] == NEW)
             i = j
 
+    def signatures(self) -> None:
+        """The end of each stretch of new lines."""
+        for first, last in list(self.stretches()):
+            self._sign(first, last)
+
+    def trailing(self) -> set[str]:
+        """The last lines of each stretch of new lines, which are endings if the sender repeats them; the first line of a stretch is none."""
+        return {self.lines[k].strip() for first, last in self.stretches() for k in [k for k in range(first + 1, last + 1) if self.seen[k]][-ENDING_LINES:]}
+
     def _sign(self, first: int, last: int) -> None:
         lines, seen = self.lines, self.seen
         cut = None
         k, used = last, 0
-        while k >= first and used < 9:
+        while k >= first and used < ENDING_LINES:
             line = lines[k]
             if not seen[k]:
                 k -= 1
@@ -273,7 +288,7 @@ class Labels:
                 if used or k == last and self._alone(k, first):
                     cut = k
                 break
-            elif line.strip().lower() in self.names or line.strip() in self.endings:
+            elif line.strip().lower() in self.names or line.strip() in self.endings and self._alone(k, first):
                 cut = k
             elif not _signature_like(line):
                 break
@@ -287,7 +302,7 @@ class Labels:
                     self.label[x] = SIGNATURE
 
     def _alone(self, k: int, first: int) -> bool:
-        """A farewell as the last line, set off from text above."""
+        """A farewell as the last line, or an ending, with text above."""
         return k > first and any(self.seen[x] for x in range(first, k))
 
     def _heads_block(self, k: int, first: int, last: int) -> bool:
@@ -390,13 +405,24 @@ def _names(sender_name, sender_email) -> tuple[str, ...]:
 
 
 def label_lines(body: str, sender_name=None, sender_email=None, inherited: list[int] | None = None, endings=frozenset()) -> list[int]:
-    """A label for each line: 0 new, 1 history, 2 notice, 3 signature. inherited: lines the automaton marked."""
-    x = Labels(body, _names(sender_name, sender_email), endings)
+    """A label for each line: 0 new, 1 history, 2 notice, 3 signature. inherited: lines the automaton marked; endings: of the sender."""
+    return _sign_labels(body, _unsigned(body, inherited), sender_name, sender_email, endings)
+
+
+def _unsigned(body: str, inherited=()) -> list[int]:
+    """Labels before signatures are looked for."""
+    x = Labels(body)
     x.history()
     for k in inherited or ():
         if x.label[k] == NEW:
             x.label[k] = HISTORY
     x.notices()
+    return x.label
+
+
+def _sign_labels(body: str, labels: list[int], sender_name, sender_email, endings=frozenset()) -> list[int]:
+    x = Labels(body, _names(sender_name, sender_email), endings)
+    x.label = labels
     x.signatures()
     return x.label
 
@@ -413,19 +439,19 @@ def quoted_share(body: str, labels: list[int]) -> float:
 
 
 def _thread_labels(rows):
-    """Labels of the messages of one thread, in order: ``(row, labels)``. rows: (seq, key, body, name, email, context)."""
-    done: OrderedDict[str, list[int]] = OrderedDict()
+    """Labels without signatures of the messages of one thread, in order: ``(row, labels, name, email)``, the latter of the first copy. rows: (seq, key, body, name, email, context)."""
+    done: OrderedDict[str, tuple] = OrderedDict()
     distinct = {r[2].replace("\r", "") for r in rows if r[2]}
     auto, held, recent = (Automaton(), 0, []) if len(distinct) > 1 else (None, 0, [])
     ids_in: set[str] = set()
     for row in rows:
         seq, mid, body, name, email, context = row
         if not body:
-            yield row, []
+            yield row, [], name, email
             continue
         plain = body.replace("\r", "")
-        labels = done.get(plain)
-        if labels is None:
+        got = done.get(plain)
+        if got is None:
             inherited = []
             if auto is not None:
                 words, at = words_of(plain)
@@ -446,11 +472,10 @@ def _thread_labels(rows):
                     for w in recent:
                         auto.add(w)
                     held = len(recent)
-            labels = label_lines(plain, name, email, inherited)
-            done[plain] = labels
+            got = done[plain] = _unsigned(plain, inherited), name, email
             if len(done) > THREAD_WINDOW:
                 done.popitem(last=False)
-        yield row, labels
+        yield row, *got
 
 
 def _by_thread(messages: DataFrame) -> DataFrame:
@@ -494,7 +519,8 @@ def _threads(batches):
         yield rows
 
 
-def _run(messages: DataFrame, emit, schema: str) -> DataFrame:
+def _mapped(df: DataFrame, each, schema: str) -> DataFrame:
+    """Rows that ``each`` makes of an iterator over record batches, in batches of bounded size."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -504,17 +530,74 @@ def _run(messages: DataFrame, emit, schema: str) -> DataFrame:
 
     def run(batches):
         out = []
-        for rows in _threads(batches):
-            for row, labels in _thread_labels(rows):
-                if not row[5]:
-                    out += emit(row, labels)
+        for rows in each(batches):
+            out += rows
             if len(out) > 20_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), arrow)], names)
                 out = []
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), arrow)], names)
 
-    return _by_thread(messages).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
+
+
+def _rows(batches, *columns):
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in columns))
+
+
+_JUDGED = "seq bigint, body string, name string, email string, labels string"
+
+
+def _judged(messages: DataFrame) -> DataFrame:
+    """``(seq, body, name, email, labels)``: labels without signatures, a digit a line; name and email of the first copy in the thread."""
+
+    def each(batches):
+        for rows in _threads(batches):
+            yield [(row[0], row[2], name, email, "".join(map(str, labels))) for row, labels, name, email in _thread_labels(rows) if not row[5]]
+
+    return _mapped(_by_thread(messages), each, _JUDGED)
+
+
+def _sender(email: str = "email"):
+    return F.nullif(F.lower(F.trim(email)), F.lit(""))
+
+
+def sender_endings(judged: DataFrame) -> DataFrame:
+    """``(sender, endings)``: the lines with which a sender ends text again and again.
+
+    Bodies count once for each sender however often they were delivered. The share bounds the
+    endings of a sender; distinct lines are counted before senders, so a busy sender is no hot key.
+    """
+
+    def each(batches):
+        for sender, body, labels in _rows(batches, "sender", "body", "labels"):
+            x = Labels(body.replace("\r", ""))
+            x.label = list(map(int, labels))
+            yield [(sender, hash_of(body.replace("\r", "")), line) for line in (None, *x.trailing())]
+
+    lines = judged.select(_sender().alias("sender"), "body", "labels").filter("sender IS NOT NULL AND body <> ''")
+    counts = _mapped(lines, each, "sender string, h bigint, line string").distinct().groupBy("sender", "line").agg(F.count("*").alias("n"))  # the null line counts bodies
+    per = counts.groupBy("sender").agg(F.max(F.when(F.col("line").isNull(), F.col("n"))).alias("bodies"), F.collect_list(F.when(F.col("line").isNotNull() & (F.col("n") >= ENDING_BODIES), F.struct("line", "n"))).alias("l"))
+    often = F.filter("l", lambda x: x["n"] >= ENDING_SHARE * F.col("bodies"))
+    return per.select("sender", F.transform(often, lambda x: x["line"]).alias("endings")).filter("size(endings) > 0")
+
+
+def hash_of(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def _run(messages: DataFrame, emit, schema: str) -> DataFrame:
+    judged = cut(_judged(messages))  # read for the endings and for the labels
+    ends = cut(sender_endings(judged)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = judged.withColumns({"sender": _sender(), "salt": F.pmod("seq", F.lit(SALTS)).cast("int")}).join(ends, ["sender", "salt"], "left")
+
+    def each(batches):
+        for seq, body, name, email, labels, endings in _rows(batches, "seq", "body", "name", "email", "labels", "endings"):
+            labels = _sign_labels(body.replace("\r", ""), list(map(int, labels)), name, email, frozenset(endings or ())) if labels else []
+            yield emit(seq, body, labels)
+
+    return _mapped(rows.select("seq", "body", "name", "email", "labels", "endings"), each, schema)
 
 
 def lines_not_new(messages: DataFrame) -> DataFrame:
@@ -526,9 +609,9 @@ def lines_not_new(messages: DataFrame) -> DataFrame:
     """
     kinds = {HISTORY: "history", NOTICE: "notice", SIGNATURE: "signature"}
 
-    def emit(row, labels):
-        lines = row[2].split("\n") if labels else ()
-        return [(row[0], k + 1, kinds[l]) for k, (l, x) in enumerate(zip(labels, lines)) if l != NEW and _VISIBLE.search(x)]
+    def emit(seq, body, labels):
+        lines = body.split("\n") if labels else ()
+        return [(seq, k + 1, kinds[l]) for k, (l, x) in enumerate(zip(labels, lines)) if l != NEW and _VISIBLE.search(x)]
 
     return _run(messages, emit, "ingest_seq bigint, line_no int, kind string")
 
@@ -540,11 +623,10 @@ def newly_written(messages: DataFrame) -> DataFrame:
     left of a body that had something. A null body gives null and false, an empty one "".
     """
 
-    def emit(row, labels):
-        body = row[2]
+    def emit(seq, body, labels):
         if not body:
-            return [(row[0], body, False)]
+            return [(seq, body, False)]
         new = clean_text(body, labels)
-        return [(row[0], new, quoted_share(body, labels) >= 0.6 or not new and HISTORY in labels)]
+        return [(seq, new, quoted_share(body, labels) >= 0.6 or not new and HISTORY in labels)]
 
     return _run(messages, emit, "ingest_seq bigint, body_text_clean string, mostly_quoted boolean")

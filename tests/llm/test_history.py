@@ -52,3 +52,12 @@ def test_odd_rows_and_hot_thread(spark, monkeypatch):
     assert H.lines_not_new(frame(spark, [])).count() == 0
     clean = {r.ingest_seq: (r.body_text_clean, r.mostly_quoted) for r in H.newly_written(df).collect()}
     assert clean[100] == (None, False) and clean[101] == ("", False) and clean[3] == ("line 3", False)
+
+
+def test_endings_a_sender_repeats_go(spark):
+    own = "the small desk by the river, open from nine!"
+    items = [(k, None, f"t{k}", f"Answer {k} stands here.\nIt took {k} days.\n\n{own}", None, "a@x.example") for k in range(6)]
+    items += [(10 + k, "m10", "copies", f"The answer.\n\nonce in {'one'} body, delivered often!", None, "c@x.example") for k in range(5)]  # copies of one body count once
+    items += [(20, None, "t20", f"A text.\n\n{own}", None, "b@x.example"), (21, None, "t21", own, None, "a@x.example")]  # another sender's line, and a line that is all of the text
+    assert {tuple(r) for r in H.lines_not_new(frame(spark, items)).collect()} == {(k, 4, "signature") for k in range(6)}
+    assert {r.ingest_seq: r.body_text_clean for r in H.newly_written(frame(spark, items)).collect()}[2] == "Answer 2 stands here.\nIt took 2 days."

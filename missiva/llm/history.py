@@ -3,7 +3,8 @@
 Three kinds of lines go: history (quoted or forwarded, with the lines that introduce it),
 notices added by systems, and the signature. History is found by a generalised suffix automaton
 over the words of each thread, which marks long runs inherited from earlier messages however the
-lines are wrapped, and by the layout of quotations, since the quoted originals are often not in
+lines are wrapped (in threads too long for one automaton by joined hashes of runs, with the same
+result), and by the layout of quotations, since the quoted originals are often not in
 the archive. What remains of the end of each stretch is compared with the forms endings take and
 with the endings the sender uses again and again.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import OrderedDict
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,10 +22,8 @@ from missiva.session import cut
 
 #: Shortest inherited run, in words.
 INHERITED_WORDS = 30
-#: Messages an automaton holds at most; a longer thread goes on with the last half of them.
+#: Messages of a thread that goes through an automaton, at most; in longer ones runs are looked up by their hashes.
 THREAD_WINDOW = 400
-#: A thread with more than this share of all rows is cut by months, each with the month before as context.
-HOT_SHARE = 0.001
 #: A line is an ending of its sender when it stands among the last ENDING_LINES lines of new text in so many of the sender's distinct bodies and in this share of them.
 ENDING_BODIES, ENDING_SHARE, ENDING_LINES = 3, 0.1, 9
 #: Parts into which the rows of one sender are split where endings are joined.
@@ -438,14 +437,22 @@ def quoted_share(body: str, labels: list[int]) -> float:
     return sum(s for s, l in zip(sizes, labels) if l == HISTORY) / max(1, sum(sizes))
 
 
+def _whole_lines(runs: list[tuple[int, int]], at: list[int]) -> list[int]:
+    """Lines of which runs of words hold all but a few words: a run may begin or end within a line of the sender's."""
+    size, out = Counter(at), []
+    for a, b in runs:
+        out += [k for k, n in Counter(at[a:b]).items() if n >= 0.8 * size[k]]
+    return out
+
+
 def _thread_labels(rows):
-    """Labels without signatures of the messages of one thread, in order: ``(row, labels, name, email)``, the latter of the first copy. rows: (seq, key, body, name, email, context)."""
-    done: OrderedDict[str, tuple] = OrderedDict()
+    """Labels without signatures of the messages of one thread, in order: ``(row, labels, name, email)``, the latter of the first copy. rows: (seq, key, body, name, email)."""
+    done: dict[str, tuple] = {}
     distinct = {r[2].replace("\r", "") for r in rows if r[2]}
-    auto, held, recent = (Automaton(), 0, []) if len(distinct) > 1 else (None, 0, [])
+    auto = Automaton() if len(distinct) > 1 else None
     ids_in: set[str] = set()
     for row in rows:
-        seq, mid, body, name, email, context = row
+        seq, mid, body, name, email = row
         if not body:
             yield row, [], name, email
             continue
@@ -455,66 +462,24 @@ def _thread_labels(rows):
             inherited = []
             if auto is not None:
                 words, at = words_of(plain)
-                if held and not (mid and mid in ids_in):  # another copy of a message inherits nothing from it
-                    for a, b in auto.runs(words, INHERITED_WORDS):
-                        # whole lines only: the run may begin or end within a line of the sender's
-                        inside = at[a:b]
-                        for k in set(inside):
-                            if inside.count(k) >= 0.8 * at.count(k):
-                                inherited.append(k)
+                if not (mid and mid in ids_in):  # another copy of a message inherits nothing from it
+                    inherited = _whole_lines(auto.runs(words, INHERITED_WORDS), at)
                 auto.add(words)
-                recent.append(words)
-                held += 1
                 if mid:
                     ids_in.add(mid)
-                if held >= THREAD_WINDOW:
-                    auto, recent, ids_in = Automaton(), recent[-THREAD_WINDOW // 2 :], set()
-                    for w in recent:
-                        auto.add(w)
-                    held = len(recent)
             got = done[plain] = _unsigned(plain, inherited), name, email
-            if len(done) > THREAD_WINDOW:
-                done.popitem(last=False)
         yield row, *got
 
 
-def _by_thread(messages: DataFrame) -> DataFrame:
-    """``(t, seq, mid, body, name, email, context)``: threads whole and in order within partitions; very large threads by months."""
-    from missiva.functions.ids import canonical_id
-
-    rows = messages.select(
-        F.coalesce(F.nullif(F.trim("thread_key"), F.lit("")), F.concat(F.lit("row:"), F.col("ingest_seq").cast("string"))).alias("t"),
-        F.col("ingest_seq").cast("bigint").alias("seq"),
-        canonical_id("message_id").alias("mid"),
-        F.col("body_text_raw").alias("body"),
-        F.col("sender_name").alias("name"),
-        F.col("sender_email").alias("email"),
-        F.coalesce(F.col("sent_at"), F.col("received_at")).alias("at"),
-    )
-    sizes = messages.filter("trim(thread_key) <> ''").groupBy(F.trim("thread_key").alias("thread_key")).agg(F.count("*").alias("n"))
-    total = messages.count()
-    least = max(5 * THREAD_WINDOW, int(total * HOT_SHARE))
-    hot = [r.thread_key for r in sizes.filter(F.col("n") > least).select("thread_key").limit(int(1 / HOT_SHARE) + 1).collect()]  # fewer than 1 / HOT_SHARE by their size
-    month = F.coalesce(F.floor(F.unix_timestamp("at") / F.lit(30 * 86400)).cast("int"), F.lit(0))
-    if hot:
-        slices = F.when(F.col("t").isin(hot), F.array(F.struct(month.alias("m"), F.lit(False).alias("context")), F.struct((month + 1).alias("m"), F.lit(True).alias("context"))))
-        rows = rows.withColumn("_s", F.explode(F.coalesce(slices, F.array(F.struct(F.lit(0).alias("m"), F.lit(False).alias("context")))))).select("*", "_s.m", "_s.context").drop("_s")
-        return rows.repartition("t", "m").sortWithinPartitions("t", "m", "at", "seq").withColumn("t", F.concat_ws(" ", "t", "m")).drop("at", "m")
-    return rows.withColumn("context", F.lit(False)).repartition("t").sortWithinPartitions("t", "at", "seq").drop("at")
-
-
 def _threads(batches):
     """Each thread's rows, from record batches in which threads lie together."""
     now, rows = None, []
-    for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("t", "seq", "mid", "body", "name", "email", "context")]
-        for t, *row in zip(*cols):
-            if t != now or len(rows) >= 20 * THREAD_WINDOW:
-                if rows:
-                    yield rows
-                now, rows = t, rows[-THREAD_WINDOW // 2 :] if t == now else []
-                rows = [(*r[:5], True) for r in rows]
-            rows.append(tuple(row))
+    for t, *row in _rows(batches, "t", "seq", "mid", "body", "name", "email"):
+        if t != now:
+            if rows:
+                yield rows
+            now, rows = t, []
+        rows.append(tuple(row))
     if rows:
         yield rows
 
@@ -551,12 +516,73 @@ _JUDGED = "seq bigint, body string, name string, email string, labels string"
 
 def _judged(messages: DataFrame) -> DataFrame:
     """``(seq, body, name, email, labels)``: labels without signatures, a digit a line; name and email of the first copy in the thread."""
+    from missiva.functions.ids import canonical_id
+
+    rows = messages.select(
+        F.coalesce(F.nullif(F.trim("thread_key"), F.lit("")), F.concat(F.lit("row:"), F.col("ingest_seq").cast("string"))).alias("t"),
+        F.col("ingest_seq").cast("bigint").alias("seq"),
+        canonical_id("message_id").alias("mid"),
+        F.col("body_text_raw").alias("body"),
+        F.col("sender_name").alias("name"),
+        F.col("sender_email").alias("email"),
+        F.coalesce(F.col("sent_at"), F.col("received_at")).alias("at"),
+    )
+    sizes = messages.filter("trim(thread_key) <> ''").groupBy(F.trim("thread_key").alias("t")).agg(F.count("*").alias("n"))
+    long = cut(sizes.filter(F.col("n") > THREAD_WINDOW).select("t"))  # a written table: its size is known, and a small one is broadcast
+    some = not long.isEmpty()
+    short = rows.join(long, "t", "left_anti") if some else rows
 
     def each(batches):
-        for rows in _threads(batches):
-            yield [(row[0], row[2], name, email, "".join(map(str, labels))) for row, labels, name, email in _thread_labels(rows) if not row[5]]
+        for thread in _threads(batches):
+            yield [(row[0], row[2], name, email, "".join(map(str, labels))) for row, labels, name, email in _thread_labels(thread)]
+
+    out = _mapped(short.repartition("t").sortWithinPartitions("t", "at", "seq").drop("at"), each, _JUDGED)
+    return out.unionByName(_judged_long(rows.join(long, "t", "left_semi"))) if some else out
+
+
+def _judged_long(rows: DataFrame) -> DataFrame:
+    """The same for threads of any length, without ever holding one.
 
-    return _mapped(_by_thread(messages), each, _JUDGED)
+    A run is inherited where each stretch of INHERITED_WORDS words in it occurs in an earlier
+    message, so the stretches' 128-bit hashes, joined to the first message with each, mark the same
+    words as an automaton over the whole thread.
+    """
+    rows = rows.withColumns({"at": F.coalesce(F.unix_micros("at"), F.lit(-(2**63))), "text": F.md5(F.replace("body", F.lit("\r"), F.lit("")))})
+    order = F.struct("at", "seq")
+    first = rows.filter("body <> ''").groupBy("t", "text").agg(F.min(order).alias("o")).select(F.col("o.seq").alias("seq"))
+    heads = cut(rows.join(first, "seq", "left_semi"))  # the first copy of each body
+    ids = heads.filter("mid IS NOT NULL").groupBy("t", "mid").agg(F.min(order).alias("o"))
+    copies = heads.join(ids, ["t", "mid"]).filter(order > F.col("o")).select("seq")  # another copy of a message inherits nothing from it
+
+    def hashes(batches):
+        for t, at, seq, body in _rows(batches, "t", "at", "seq", "body"):
+            words, start = words_of(body.replace("\r", ""))[0], hashlib.blake2b(f"{t}\n".encode("utf-8", "surrogatepass"), digest_size=16)
+            got = []
+            for k in range(len(words) - INHERITED_WORDS + 1):
+                h = start.copy()
+                h.update(" ".join(words[k : k + INHERITED_WORDS]).encode("utf-8", "surrogatepass"))
+                got.append((h.digest(), at, seq, k))
+            yield got
+
+    parts = _mapped(heads.select("t", "at", "seq", "body"), hashes, "h binary, at bigint, seq bigint, k int")
+    again = parts.groupBy("h").agg(F.min(order).alias("o"), F.max(order).alias("last")).filter("o < last").select("h", "o")
+    found = parts.join(again, "h").filter(order > F.col("o")).groupBy("seq").agg(F.collect_list("k").alias("ks")).join(copies, "seq", "left_anti")
+
+    def each(batches):
+        for t, text, body, name, email, ks in _rows(batches, "t", "text", "body", "name", "email", "ks"):
+            plain, runs = body.replace("\r", ""), []
+            for k in sorted(ks or ()):
+                if runs and runs[-1][1] >= k:
+                    runs[-1] = (runs[-1][0], k + INHERITED_WORDS)
+                else:
+                    runs.append((k, k + INHERITED_WORDS))
+            yield [(t, text, name, email, "".join(map(str, _unsigned(plain, _whole_lines(runs, words_of(plain)[1])))))]
+
+    judged = _mapped(heads.join(found, "seq", "left").select("t", "text", "body", "name", "email", "ks"), each, "t string, text string, head_name string, head_email string, labels string")
+    own = F.col("labels").isNull()  # null and empty bodies
+    return rows.join(judged, ["t", "text"], "left").select(
+        "seq", "body", F.when(own, F.col("name")).otherwise(F.col("head_name")).alias("name"), F.when(own, F.col("email")).otherwise(F.col("head_email")).alias("email"), F.coalesce("labels", F.lit("")).alias("labels"),
+    )
 
 
 def _sender(email: str = "email"):

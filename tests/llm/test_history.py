@@ -61,3 +61,13 @@ def test_endings_a_sender_repeats_go(spark):
     items += [(20, None, "t20", f"A text.\n\n{own}", None, "b@x.example"), (21, None, "t21", own, None, "a@x.example")]  # another sender's line, and a line that is all of the text
     assert {tuple(r) for r in H.lines_not_new(frame(spark, items)).collect()} == {(k, 4, "signature") for k in range(6)}
     assert {r.ingest_seq: r.body_text_clean for r in H.newly_written(frame(spark, items)).collect()}[2] == "Answer 2 stands here.\nIt took 2 days."
+
+
+def test_long_threads_inherit_from_any_earlier_message(spark, monkeypatch):
+    old = "\n".join(" ".join(f"word{j}" for j in range(k, k + 10)) for k in range(0, 60, 10))
+    items = [(0, None, "t", old, None, None)] + [(k, None, "t", f"Message {k} says other things.", None, None) for k in range(1, 30)]
+    items += [(30, None, "t", "Fresh answer of mine.\n\n" + old, None, None), (31, "m0", "t", old + "\nSeen.", None, None), (32, None, "t", old, None, None), (33, None, "t", "", None, None), (34, None, "u", old, None, None)]
+    whole = {tuple(r) for r in H.lines_not_new(frame(spark, items)).collect()}
+    assert whole == {(30, k, "history") for k in range(3, 9)}  # copies by text or id and other threads inherit nothing
+    monkeypatch.setattr(H, "THREAD_WINDOW", 4)
+    assert {tuple(r) for r in H.lines_not_new(frame(spark, items)).collect()} == whole

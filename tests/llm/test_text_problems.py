@@ -184,3 +184,14 @@ def test_personal_items(spark):
     assert red[7].subject_redacted == "Retirement file of [NAME]" and red[900].body_text_redacted is None and red[901].body_text_redacted == ""
     assert red[1].body_text_redacted == "Ticket 683000806 is open. Write to [EMAIL] or [EMAIL].\n\nv"
     assert P.personal_items(df.limit(0), P.fit_finder(df.limit(0))).count() == 0
+
+
+def test_names_of_one_sender_and_of_none(spark):
+    schema = "ingest_seq long, body_text_raw string, subject_raw string, sender_name string, sender_email string"
+    shared = [("Dana Morvane", "dana.morvane"), ("Dana Orblin", "dana.orblin"), ("Uri Morvane", "uri.morvane"), ("Uri Orblin", "uri.orblin")]
+    rows = [(k, f"Dear {n.split()[0]},\n\nThe fund has the updates for {n}, as said by the pension fund.\n\nKedem Benefit Fund\n{n}", None, n, f"{m}@x.example") for k, (n, m) in enumerate(shared * 15)]
+    rows += [(100 + k, f"Hello all,\n\nSomething else {k}.", None, n, e) for k, (n, e) in enumerate([("Zephyrine Quorvex", "z@x.example"), ("Anna van Telmark", "a@x.example"), ("Fund Updates", "fund.updates@x.example")])]
+    text = "Dear Brunhilde,\n\nZephyrine Quorvex saw Anna van Telmark. Quorvex wrote of the Kedem Benefit Fund.\n\nDear Colleagues,\nthanks."
+    df = spark.createDataFrame(rows + [(200, text, None, None, None)], schema)
+    got = {text[r.start_at : r.end_at] for r in P.personal_items(df).filter("ingest_seq = 200").collect()}
+    assert got == {"Brunhilde", "Zephyrine Quorvex", "Anna van Telmark", "Quorvex"}

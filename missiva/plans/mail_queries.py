@@ -13,8 +13,6 @@ from missiva.operators.cleaning import clean
 from missiva.session import cut, table
 
 TOPICS = {r.name: r.keywords for r in C.RULES}
-#: Bounds small enough that the test tables fill several parts.
-PART_CHARS, PART_EMAILS, PART_BODY = 20_000, 25, 2_000
 
 
 def _messages(spark, d):
@@ -343,11 +341,11 @@ def pack_excluded(spark, d):
 
 def _packed(spark, d):
     mail = cut(_classified(spark, d))  # read several times below
-    return mail, P.pack(mail, PART_CHARS, PART_EMAILS, PART_BODY)
+    return mail, P.pack(mail)
 
 
 def render_email(spark, d):
-    return _classified(spark, d).select("ingest_seq", P.render_email(F.lit("EMAIL"), PART_BODY).alias("text"))
+    return _classified(spark, d).select("ingest_seq", P.render_email(F.lit("EMAIL")).alias("text"))
 
 
 def greedy_pack(spark, d):

@@ -120,3 +120,15 @@ def test_entry_without_text_package(monkeypatch):
     assert "p4_found" in e.queries() and "p1_found" not in e.queries()
     assert set(e.oracle_sql()) <= set(e.queries())
     sys.modules.pop("__spark_entry__", None)
+
+
+def test_packing_queries_keep_whole_bodies_and_full_parts(spark, monkeypatch):
+    from missiva.plans import mail_queries as Q
+
+    classified = Q._classified
+    plain = lambda s, d: classified(s, d).orderBy("ingest_seq").limit(40).withColumns({"body_for_pack": F.repeat(F.lit("x"), 3000), "knowledge_topic": F.lit("one"), "is_filtered": F.lit("False"), "is_system_noise": F.lit(False)})
+    monkeypatch.setattr(Q, "_classified", plain)
+    d = "/root/testdata/sf0.001"
+    assert all("x" * 3000 in r.text for r in Q.render_email(spark, d).collect())
+    parts = Q.greedy_pack(spark, d).collect()
+    assert len(parts) == 40 and {r.part for r in parts} == {1}

@@ -403,7 +403,7 @@ def fit_residue(docs: DataFrame, text_col: str = "text", host_col: str = "sender
     known = docs.filter(F.length(F.trim(F.col(f"`{text_col}`"))) > 0).select(F.col(f"`{text_col}`").alias("text"), host.alias("host"), F.col(f"`{key}`").alias("_key"))
     odds = count_places(docs, text_col)
     hidden = sum(_BIT[f] for f in without)
-    found = cut(labelled_units(hash_sample(known, sample_rows, "_key"), odds, hidden))
+    found = cut(labelled_units(hash_sample(known, sample_rows, "_key").repartition(1 + sample_rows // 1000), odds, hidden))  # the draw ends in one partition
     kind = F.when(F.col("families") != 0, 0).when((F.col("stands") == 2) & (F.col("clean") == 0), 1).otherwise(2)
     totals = found.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n"), F.sum("documents").alias("documents")).collect()
     sums, documents = {r["kind"]: r["n"] for r in totals}, sum(r["documents"] for r in totals)

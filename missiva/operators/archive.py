@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from missiva.functions import text as T
+from missiva.operators.ordering import numbered
 
 # Words of the flags, noise and system patterns, domain terms, buckets of names.
 COMPLAINT = ["complaint", "unhappy", "not acceptable", "dissatisfied", "disappointing", "בעיה", "תלונה", "לא תקין", "לא מרוצה", "מאוכזב", "מאוכזבת", "גרוע"]
@@ -87,8 +88,10 @@ def dedup_mark(messages: DataFrame) -> DataFrame:
 
 
 def group_duplicates(messages: DataFrame) -> DataFrame:
-    marked = dedup_mark(messages)
-    return marked.groupBy(F.coalesce("duplicate_of", "record_id").alias("canonical")).agg(F.count("*").alias("members"), F.sort_array(F.collect_set("ingest_seq")).alias("ingest_seqs"))
+    """``(ingest_seq, canonical, members)``: each row with the record id of its group and the group's size; a group is never gathered."""
+    marked = dedup_mark(messages).select("ingest_seq", F.coalesce("duplicate_of", "record_id").alias("canonical"))
+    sizes = marked.groupBy("canonical").agg(F.count("*").alias("members"))
+    return marked.join(sizes.withColumnRenamed("canonical", "_c"), F.col("canonical").eqNullSafe(F.col("_c"))).select("ingest_seq", "canonical", "members")
 
 
 def thread_keys(messages: DataFrame) -> DataFrame:
@@ -97,9 +100,8 @@ def thread_keys(messages: DataFrame) -> DataFrame:
 
 def thread_position(messages: DataFrame) -> DataFrame:
     """Place of each message in its thread by date and record id; undated ones come first."""
-    rows = with_archive_keys(messages)
-    order = Window.partitionBy("thread_key").orderBy("order_date", "record_id", "ingest_seq")
-    return rows.select("ingest_seq", "thread_key", F.row_number().over(order).alias("position"))
+    rows = with_archive_keys(messages).select("ingest_seq", "thread_key", "order_date", "record_id")
+    return numbered(rows, "thread_key", ["order_date", "record_id", "ingest_seq"], "position").select("ingest_seq", "thread_key", "position")
 
 
 def thread_summary(messages: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from missiva.functions import text as T
-from missiva.operators.classify import hits_topic
 
 # Words too common to name a group.
 STOPWORDS = ["של", "על", "את", "לא", "עם", "כל", "גם", "זה", "the", "and", "for", "with", "that", "this", "you", "are", "was"]
@@ -16,29 +15,16 @@ STOPWORDS = ["של", "על", "את", "לא", "עם", "כל", "גם", "זה", "th
 
 def tfidf(docs: DataFrame, key: str, text: str, vocabulary: int = 5000) -> DataFrame:
     """``(key, features)``: uni- and bigrams, smooth idf plus one, L2 norm; ``vocabulary`` terms at most, sparse throughout."""
-    from pyspark.ml.feature import CountVectorizer, NGram, Normalizer, VectorAssembler  # noqa: F401
-    from pyspark.ml.functions import vector_to_array  # noqa: F401
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    import numpy as np
+    from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer
+    from pyspark.ml.linalg import Vectors
 
     words = docs.select(F.col(key), F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(?U)(\b\w\w+\b)"), 1).alias("_w"))
     grams = NGram(n=2, inputCol="_w", outputCol="_g").transform(words).withColumn("_t", F.concat("_w", "_g"))
-    model = CountVectorizer(inputCol="_t", outputCol="_c", vocabSize=vocabulary).fit(grams)
-    counted = model.transform(grams).select(key, "_c").cache()
-    n = counted.count()
-    seen = counted.select(F.explode(F.expr("transform(sequence(0, 0), x -> 0)")), "_c").drop("col")
-
-    @F.udf("array<int>")
-    def where(v):
-        return [int(i) for i in v.indices]
-
-    df = {r["i"]: r["n"] for r in seen.select(F.explode(where("_c")).alias("i")).groupBy("i").agg(F.count("*").alias("n")).collect()}  # bounded by the vocabulary
-    idf = {i: math.log((1 + n) / (1 + c)) + 1 for i, c in df.items()}
-
-    @F.udf(VectorUDT())
-    def weigh(v):
-        return SparseVector(v.size, v.indices, [x * idf[int(i)] for i, x in zip(v.indices, v.values)])
-
-    return Normalizer(inputCol="_f", outputCol="features").transform(counted.withColumn("_f", weigh("_c"))).select(key, "features")
+    counted = CountVectorizer(inputCol="_t", outputCol="_c", vocabSize=vocabulary).fit(grams).transform(grams).select(key, "_c")
+    idf = np.asarray(IDF(inputCol="_c", outputCol="_i").fit(counted).idf.toArray()) + 1  # one number a term
+    weighed = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_c", outputCol="_f").transform(counted)
+    return Normalizer(inputCol="_f", outputCol="features").transform(weighed).select(key, "features")
 
 
 def kmeans(vectors: DataFrame, k: int, seeds: int = 10, seed: int = 42) -> DataFrame:
@@ -91,7 +77,7 @@ def top_terms(docs: DataFrame, group: str, text: str, k: int = 5) -> DataFrame:
 
 
 def name_clusters(docs: DataFrame, group: str, text: str, topics: dict[str, list[str]], fallback: str = "נושא") -> DataFrame:
-    """``(group, cluster_name)``: by domain words anywhere in the group, else its top term, else a number.
+    """``(group, name)``: by domain words anywhere in the group, else its top term, else a number.
 
     Domain hits are counted over the group by a maximum of flags, without gathering its texts.
     """
@@ -100,7 +86,7 @@ def name_clusters(docs: DataFrame, group: str, text: str, topics: dict[str, list
     hit = docs.groupBy(group).agg(*[F.max(F.contains(low, F.lit(w.lower())).cast("int")).alias(f"_{j}") for j, (_, _, w) in enumerate(flags)])
     best = F.array_max(F.array(*[F.struct(sum((F.col(f"_{j}") for j, (m, _, _) in enumerate(flags) if m == n), F.lit(0)).alias("s"), F.lit(-i).alias("o"), F.lit(n).alias("name")) for i, n in enumerate(topics)]))
     first = top_terms(docs, group, text, 1).select(group, "term")
-    return hit.join(first, group, "left").select(group, F.when(best["s"] > 0, best["name"]).otherwise(F.coalesce("term", F.concat(F.lit(f"{fallback}_"), (F.col(group) + 1).cast("string") if dict(docs.dtypes)[group] in ("int", "bigint") else F.col(group)))).alias("cluster_name"))
+    return hit.join(first, group, "left").select(group, F.when(best["s"] > 0, best["name"]).otherwise(F.coalesce("term", F.concat(F.lit(f"{fallback}_"), (F.col(group) + 1).cast("string") if dict(docs.dtypes)[group] in ("int", "bigint") else F.col(group)))).alias("name"))
 
 
 def domain_name(text, topics: dict[str, list[str]]):
@@ -111,11 +97,13 @@ def domain_name(text, topics: dict[str, list[str]]):
 
 
 def representatives(docs: DataFrame, group: str, key: str, text: str, subject: str, k: int = 3) -> DataFrame:
-    """``(group, key, rank)``: the rows of each group nearest its mean TF-IDF vector, with distinct subjects.
+    """``(group, key, rank)``: the rows of each group nearest its mean TF-IDF vector of tokens and pairs of neighbours, with distinct subjects.
 
     Term weights and the mean live in long tables, so a group of any size stays distributed.
     """
-    words = docs.select(group, key, F.explode(T.tokens(text)).alias("t")).groupBy(group, key, "t").agg(F.count("*").alias("tf"))
+    tokens = docs.select(group, key, T.tokens(text).alias("_w"))
+    pairs = F.zip_with(F.slice("_w", 1, F.size("_w") - 1), F.slice("_w", 2, F.size("_w")), lambda a, b: F.concat(a, F.lit(" "), b))
+    words = tokens.select(group, key, F.explode(F.when(F.size("_w") > 1, F.concat("_w", pairs)).otherwise(F.col("_w"))).alias("t")).groupBy(group, key, "t").agg(F.count("*").alias("tf"))
     size = docs.groupBy(group).agg(F.count("*").alias("n"))
     idf = words.groupBy(group, "t").agg(F.count("*").alias("df")).join(size, group).select(group, "t", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"), "n")
     weighed = words.join(idf, [group, "t"]).withColumn("w", F.col("tf") * F.col("idf"))
@@ -127,5 +115,3 @@ def representatives(docs: DataFrame, group: str, key: str, text: str, subject: s
     best = rows.groupBy(group, "_s").agg(F.max_by(F.struct(F.col(key), F.col("score")), F.struct("score", -F.col(key))).alias("b")).select(group, f"b.{key}", "b.score")
     return best.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("score"), key))).filter(F.col("rank") <= k)
 
-
-__all__ = ["choose_k", "cluster_range", "domain_name", "elbow", "hits_topic", "kmeans", "name_clusters", "representatives", "tfidf", "top_terms"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from missiva.functions import text as T
 from missiva.operators.archive import format_date, top_values
+from missiva.operators.ordering import greedy_parts
 
 # Bounds of a part, and the rendered form.
 MAX_CHARS, MAX_EMAILS, MAX_BODY = 160_000, 80, 8_500
@@ -27,37 +28,20 @@ def included() -> Column:
     return (F.lower(F.coalesce("is_filtered", F.lit("false"))) != "true") & ~F.coalesce("is_system_noise", F.lit(False)) & (T.strip(F.coalesce("knowledge_topic", F.lit(""))) != "")
 
 
-def greedy_parts(rows: DataFrame, group: str, order: list, size: str, max_size: int, max_rows: int) -> DataFrame:
-    """Add ``part`` and ``place``: each group's rows in order, a new part where the next row would exceed a bound.
+def sized(mail: DataFrame, columns: list[str], max_body: int = MAX_BODY) -> DataFrame:
+    """``columns`` and ``chars`` of the mails that are packed: what packing needs of them, without their texts."""
+    return mail.filter(included()).select(*columns, F.length(render_email(F.lit("EMAIL"), max_body)).alias("chars"))
 
-    A row larger than the bound stands alone. The fold needs a group's sizes one after another; it
-    runs over Arrow batches of a range-sorted partition and holds two numbers, not the group, so a
-    group's size costs time only. The fold sees ``group``, keys and sizes, and no texts.
-    """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", part int, place int"
 
-    def fold(batches):
-        now, part, count, total = object(), 0, 0, 0
-        for pdf in batches:
-            parts, places = [], []
-            for g, s in zip(pdf[group].tolist(), pdf[size].tolist()):
-                s = int(s or 0)
-                if g != now:
-                    now, part, count, total = g, 1, 0, 0
-                elif count and (count >= max_rows or total + s > max_size):
-                    part, count, total = part + 1, 0, 0
-                count, total = count + 1, total + s
-                parts.append(part)
-                places.append(count)
-            yield pdf.assign(part=parts, place=places)
-
-    return rows.repartition(group).sortWithinPartitions(group, *order).mapInPandas(fold, schema)
+def place(rows: DataFrame, max_chars: int = MAX_CHARS, max_emails: int = MAX_EMAILS) -> DataFrame:
+    """``(knowledge_topic, ingest_seq, part, place, chars)`` of sized mails."""
+    rows = rows.select("knowledge_topic", "date_sort", "message_id", "ingest_seq", "chars")
+    return greedy_parts(rows, "knowledge_topic", [F.asc_nulls_last("date_sort"), "message_id", "ingest_seq"], "chars", max_chars, max_emails).select("knowledge_topic", "ingest_seq", "part", "place", "chars")
 
 
 def pack(mail: DataFrame, max_chars: int = MAX_CHARS, max_emails: int = MAX_EMAILS, max_body: int = MAX_BODY) -> DataFrame:
     """``(knowledge_topic, ingest_seq, part, place, chars)`` of the mails that are packed."""
-    rows = mail.filter(included()).select("knowledge_topic", "date_sort", "message_id", "ingest_seq", F.length(render_email(F.lit("EMAIL"), max_body)).alias("chars"))
-    return greedy_parts(rows, "knowledge_topic", [F.asc_nulls_last("date_sort"), "message_id", "ingest_seq"], "chars", max_chars, max_emails).select("knowledge_topic", "ingest_seq", "part", "place", "chars")
+    return place(sized(mail, ["knowledge_topic", "date_sort", "message_id", "ingest_seq"], max_body), max_chars, max_emails)
 
 
 def manifest(mail: DataFrame, packed: DataFrame) -> DataFrame:

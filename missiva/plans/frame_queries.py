@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from missiva.functions import text as T
 from missiva.operators import archive as A
+from missiva.operators.ordering import numbered
 from missiva.plans.mail_sql import MAIL, q, rx, strip, subject
 from missiva.session import table
 
@@ -38,8 +39,8 @@ def top_people(spark, d):
 
 
 def pack_order(spark, d):
-    order = Window.partitionBy("cluster_name").orderBy(F.asc_nulls_last("date_sort"), "message_id", "ingest_seq")
-    return _mail(spark, d).select("cluster_name", "ingest_seq", F.row_number().over(order).alias("place"))
+    rows = _mail(spark, d).select("cluster_name", "ingest_seq", "date_sort", "message_id")
+    return numbered(rows, "cluster_name", [F.asc_nulls_last("date_sort"), "message_id", "ingest_seq"], "place").select("cluster_name", "ingest_seq", "place")
 
 
 def received_date(spark, d):
@@ -60,8 +61,9 @@ def to_json_cells(spark, d):
 
 def cluster_filename(spark, d):
     names = _mail(spark, d).select("cluster_name").distinct()
-    slug = F.regexp_replace(T.sanitize_filename(F.replace("cluster_name", F.lit("/"), F.lit("_")), "cluster", 80), r"[0-9]", "")
-    return names.withColumn("slug", slug).withColumn("n", F.row_number().over(Window.partitionBy("slug").orderBy("cluster_name"))).select("cluster_name", F.concat("slug", F.when(F.col("n") > 1, F.concat(F.lit("_"), F.col("n").cast("string"))).otherwise(""), F.lit(".txt")).alias("file"))
+    slug = T.sanitize_filename(F.regexp_replace("cluster_name", "[/ ]", "_"), "cluster", 80)
+    names = names.withColumn("slug", slug).withColumn("n", F.row_number().over(Window.partitionBy(F.lower("slug")).orderBy("cluster_name")))  # one row a cluster
+    return names.select("cluster_name", F.concat("slug", F.when(F.col("n") > 1, F.concat(F.lit("_"), F.col("n").cast("string"))).otherwise(""), F.lit(".txt")).alias("file"))
 
 
 def raw_projection(spark, d):
@@ -121,6 +123,7 @@ def oracle_sql():
     email = lambda c: f"nullif(lower({rx(strip(c), '^[<>]+|[<>]+$')}), '')"
     many = lambda c: f"array_to_string(list_filter(list_transform({c}, lambda r: {email('r.email')}), lambda x: x IS NOT NULL), ';')"
     ws = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    name = rx(rx(rx(rx("cluster_name", "[/ ]", "'_'"), r'[<>:"/\\|?*\x{00}-\x{1f}]', "'_'"), "_+", "'_'"), r"\A[ .]+|[ .]+\z")
     body = rx("coalesce(body_text_raw, '')", r"[\x{00}-\x{08}\x{0b}-\x{1f}]")
     reply = lambda kinds: f"regexp_matches({strip('lower(subject_raw)')}, {q(rf'^(?:{kinds})[{ws}]*[:：]')})"
     return {
@@ -133,6 +136,7 @@ def oracle_sql():
         "received_date": f"SELECT raw_id, CASE WHEN contains(received_at, ';') THEN {strip('string_split(received_at, ' + q(';') + ')[-1]')} END AS value FROM raw_messages",
         "headers_map": "SELECT ingest_seq, coalesce(subject_raw, '') || chr(10) || 'again' AS subject, element_at(internet_headers, 'Importance')[1] AS importance, CAST(1 + coalesce(cardinality(internet_headers), 0) AS INT) AS n FROM messages",
         "to_json_cells": "SELECT ingest_seq, CAST(to_json(to_emails) AS VARCHAR) AS value FROM messages",
+        "cluster_filename": MAIL + f", s AS (SELECT DISTINCT cluster_name, coalesce(nullif({name}, ''), 'cluster') AS slug FROM mail), n AS (SELECT *, row_number() OVER (PARTITION BY lower(slug) ORDER BY cluster_name) AS n FROM s) SELECT cluster_name, slug || CASE WHEN n > 1 THEN '_' || n ELSE '' END || '.txt' AS file FROM n",
         "raw_projection": f"SELECT raw_id, coalesce(message_id, '') AS message_id, coalesce(conversation_id, '') AS thread_id, {many('to_recipients')} AS to_emails, {many('cc_recipients')} AS cc_emails, CASE WHEN len(attachment_payloads) > 0 THEN 'True' ELSE 'False' END AS has_attachments, CAST(len(attachment_payloads) AS INT) AS attachment_count, CASE WHEN {strip(body)} = '' THEN 0 ELSE len(regexp_split_to_array({strip(body)}, {q(f'[{ws}]+')})) END AS word_count FROM raw_messages",
         "message_projection": f"SELECT raw_id, nullif({rx(strip('message_id'), '^[<>]+|[<>]+$')}, '') AS message_id, {subject('subject_raw')} AS subject_normalized, {email('sender_email')} AS sender_email, CASE WHEN {reply('fw|fwd|הועבר|העברה')} THEN 'forward' WHEN {reply('re|תגובה|השב')} THEN 'reply' END AS reply_forward_indicator, coalesce(nullif(in_reply_to, ''), reference_ids[-1]) AS parent_message_id, len(attachment_payloads) > 0 AS has_attachments FROM raw_messages",
         "cluster_writeback": MAIL + "SELECT ingest_seq, CASE WHEN is_filtered <> 'True' THEN upper(cluster_name) ELSE '' END AS label FROM mail",

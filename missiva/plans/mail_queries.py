@@ -65,7 +65,7 @@ def strip_control(spark, d):
 
 
 def normalize_search_text(spark, d):
-    return _messages(spark, d).select("ingest_seq", T.search_text("subject_raw").alias("value"))
+    return _messages(spark, d).select("ingest_seq", T.search_text("body_text_raw").alias("value"))
 
 
 def subject_snippet(spark, d):
@@ -73,11 +73,11 @@ def subject_snippet(spark, d):
 
 
 def embedding_text(spark, d):
-    return _mail(spark, d).select("ingest_seq", T.embedding_text("subject", "body", 300).alias("value"))
+    return _mail(spark, d).select("ingest_seq", T.embedding_text("subject", "body").alias("value"))
 
 
 def tokens(spark, d):
-    return _mail(spark, d).select("ingest_seq", F.array_join(T.tokens("subject"), " ").alias("value"))
+    return _mail(spark, d).select("ingest_seq", F.array_join(T.tokens("body"), " ").alias("value"))
 
 
 def sanitize_filename(spark, d):
@@ -101,7 +101,7 @@ def as_float(spark, d):
 
 
 def text_quality(spark, d):
-    return table(spark, d, "emails_raw").select("row_id", F.round(T.text_quality(F.regexp_replace("subject", r"[^\x{20}-\x{7e}א-ת×ÃÂ�]", "")), 6).alias("value"))
+    return table(spark, d, "emails_raw").select("row_id", F.round(T.text_quality("body"), 6).alias("value"))
 
 
 def content_hash(spark, d):
@@ -200,7 +200,7 @@ def dedup_mark(spark, d):
 
 
 def group_duplicates(spark, d):
-    return A.group_duplicates(_messages(spark, d)).select("canonical", "members", F.array_join("ingest_seqs", ";").alias("ingest_seqs"))
+    return A.group_duplicates(_messages(spark, d))
 
 
 def thread_keys(spark, d):
@@ -279,8 +279,12 @@ def date_range(spark, d):
     return _mail(spark, d).groupBy("folder_path").agg(A.format_date(F.min("date_sort")).alias("first_date"), A.format_date(F.max("date_sort")).alias("last_date"))
 
 
+def _embedded(spark, d):
+    return _mail(spark, d).select("cluster_name", "ingest_seq", "subject", T.embedding_text("subject", "body").alias("text"))
+
+
 def top_terms(spark, d):
-    return L.top_terms(_mail(spark, d), "cluster_name", "subject")
+    return L.top_terms(_embedded(spark, d), "cluster_name", "text")
 
 
 def row_topic(spark, d):
@@ -339,9 +343,13 @@ def pack_excluded(spark, d):
     return _classified(spark, d).filter(~P.included()).select("ingest_seq")
 
 
+_PACK_COLUMNS = ["ingest_seq", "message_id", "date_sort", "from_email", "subject", "knowledge_topic", "knowledge_subtopic"]
+
+
 def _packed(spark, d):
-    mail = cut(_classified(spark, d))  # read several times below
-    return mail, P.pack(mail)
+    """Keys, sizes and heads of the mails that are packed, without their texts, and the parts."""
+    sized = cut(P.sized(_classified(spark, d), _PACK_COLUMNS))  # read several times below
+    return sized, P.place(sized)
 
 
 def render_email(spark, d):
@@ -370,7 +378,7 @@ def pack_people(spark, d):
 
 
 def pack_totals(spark, d):
-    return manifest(spark, d).agg(F.count("*").alias("emails"), F.count_distinct("source_file").alias("files"))
+    return _packed(spark, d)[1].agg(F.count("*").alias("emails"), F.count_distinct("knowledge_topic", "part").alias("files"))
 
 
 def review_queue(spark, d):
@@ -381,24 +389,25 @@ def review_queue(spark, d):
 
 
 def representatives(spark, d):
-    return L.representatives(_mail(spark, d), "cluster_name", "ingest_seq", "subject", "subject").select("cluster_name", "ingest_seq", "rank")
+    return L.representatives(_embedded(spark, d), "cluster_name", "ingest_seq", "text", "subject").select("cluster_name", "ingest_seq", "rank")
 
 
 def name_clusters(spark, d):
-    return L.name_clusters(_mail(spark, d), "cluster_name", "subject", TOPICS)
+    mail = _mail(spark, d).select("cluster_name", F.concat_ws(" ", "subject_normalized", "clean_body").alias("text"))
+    return L.name_clusters(mail, "cluster_name", "text", TOPICS)
 
 
 def kmeans_assign(spark, d):
     from pyspark.ml.functions import array_to_vector
 
     rows = table(spark, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    return L.kmeans(rows, 8, seeds=2).select("vec_id", "cluster_id")
+    return L.kmeans(rows, 8).select("vec_id", "cluster_id")
 
 
 def tfidf(spark, d):
     from pyspark.ml.functions import vector_to_array
 
-    got = L.tfidf(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", 2000)
+    got = L.tfidf(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
     return got.select("doc_id", F.round(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm2"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from missiva.functions.text import ENTITIES, NO_TITLE, PREFIXES, WS, WSL
 from missiva.operators import archive as A
 from missiva.operators import classify as C
+from missiva.operators import learning as L
+from missiva.operators import packing as P
 from missiva.operators.cleaning import QUOTED_LINE, REPLY_LINES, SIGNATURE_LINES
 
 
@@ -127,6 +129,73 @@ def _search(topic=None, person=None, query=None, limit=None) -> str:
     return MAIL + f"SELECT ingest_seq, search_score FROM (SELECT *, {' + '.join(score)} AS search_score FROM mail WHERE {' AND '.join(where)}){end}"
 
 
+def _fallback_subtopic() -> str:
+    longest = "substr(list_reverse_sort(list_transform(string_split(nullif(best.matched, ''), ';'), lambda t, i: {'n': length(t), 'o': -i, 't': t}))[1].t, 1, 80)"
+    short = f"coalesce(nullif(substr({ws(subject('subject'))}, 1, 80), ''), {q(NO_TITLE)})"
+    return f"coalesce(nullif({longest}, ''), nullif(array_to_string(regexp_split_to_array({short}, {q(f'[{WS}]+')})[1:6], ' '), ''), {q(C.NO_SUBTOPIC)})"
+
+
+def _rendered() -> str:
+    """``r``: the mails that are packed with their rendered text."""
+    body = f"CASE WHEN length(body_for_pack) > {P.MAX_BODY} THEN {rx(f'substr(body_for_pack, 1, {P.MAX_BODY})', f'[{WS}]+$')} || chr(10) || '[body truncated]' ELSE body_for_pack END"
+    fields = [("Message ID", "message_id"), ("Date", date_text("date_sort")), ("From", "from_email"), ("To", "to_emails"), ("CC", "cc_emails"), ("BCC", "bcc_emails"), ("Subject", "subject"), ("Folder", "folder_path"), ("Topic", "knowledge_topic"), ("Subtopic", "knowledge_subtopic"), ("Matched terms", "knowledge_matched_terms")]
+    text = " || chr(10) || ".join(["'EMAIL'", *(f"'{n}: ' || {c}" for n, c in fields), "''", "'Body:'", "CASE WHEN b = '' THEN '[empty body]' ELSE b END", "''", q(P.RULE), "''"])
+    return f", bodies AS (SELECT *, {body} AS b FROM cl), r AS (SELECT *, {text} AS text FROM bodies)"
+
+
+def _packs() -> str:
+    """``packed``: a fold over each topic's mails in order, by recursion over their numbers."""
+    start = _rules().replace("WITH mail", "WITH RECURSIVE mail", 1) + _rendered()
+    return start + f""", o AS MATERIALIZED (SELECT knowledge_topic AS t, ingest_seq, length(text) AS chars, row_number() OVER (PARTITION BY knowledge_topic ORDER BY date_sort NULLS LAST, message_id, ingest_seq) AS n FROM r WHERE {_KEEP}),
+      g AS (SELECT t, n, ingest_seq, chars, 1 AS part, 1 AS place, chars AS total FROM o WHERE n = 1
+        UNION ALL
+        SELECT o.t, o.n, o.ingest_seq, o.chars, CASE WHEN full_ THEN g.part + 1 ELSE g.part END, CASE WHEN full_ THEN 1 ELSE g.place + 1 END, CASE WHEN full_ THEN o.chars ELSE g.total + o.chars END
+        FROM (SELECT g.*, n + 1 AS next FROM g) g JOIN o ON o.t = g.t AND o.n = g.next, LATERAL (SELECT g.place >= {P.MAX_EMAILS} OR g.total + o.chars > {P.MAX_CHARS} AS full_) f),
+      packed AS (SELECT t AS knowledge_topic, ingest_seq, CAST(part AS INT) AS part, CAST(place AS INT) AS place, CAST(chars AS INT) AS chars FROM g),
+      full_rows AS (SELECT cl.*, packed.part, packed.place FROM packed JOIN cl USING (ingest_seq)),
+      slugs0 AS (SELECT DISTINCT knowledge_topic, replace(knowledge_topic, ' ', '_') AS slug FROM packed),
+      slugs AS (SELECT knowledge_topic, CASE WHEN row_number() OVER (PARTITION BY lower(slug) ORDER BY knowledge_topic) > 1 THEN slug || '_' || row_number() OVER (PARTITION BY lower(slug) ORDER BY knowledge_topic) ELSE slug END AS slug FROM slugs0)
+    """
+
+
+def _tops(by: str, value: str, k: int, out: str, where: str = "true", shown: str | None = None) -> str:
+    return f"(SELECT {by}, string_agg({shown or value}, '; ' ORDER BY rn) AS {out} FROM (SELECT {by}, {value}, count(*) AS n, row_number() OVER (PARTITION BY {by} ORDER BY count(*) DESC, {value}) AS rn FROM full_rows WHERE {where} GROUP BY {by}, {value}) WHERE rn <= {k} GROUP BY {by})"
+
+
+def _embedded() -> str:
+    return MAIL + f", e AS (SELECT cluster_name, ingest_seq, subject, {ws('subject || chr(10) || subject || chr(10) || substr(body, 1, 3500)')} AS text FROM mail)"
+
+
+_TOKENS = r"regexp_extract_all(lower(text), '[\x{590}-\x{5ff}A-Za-z0-9][\x{590}-\x{5ff}A-Za-z0-9_-]+')"
+
+
+def _top_terms(source: str, k: int) -> str:
+    stop = ", ".join(q(w) for w in L.STOPWORDS)
+    return f", w AS (SELECT cluster_name, unnest({_TOKENS}) AS term FROM {source}), c AS (SELECT cluster_name, term, count(*) AS n FROM w WHERE length(term) > 2 AND term NOT IN ({stop}) GROUP BY ALL), tt AS (SELECT cluster_name, term, n, CAST(row_number() OVER (PARTITION BY cluster_name ORDER BY n DESC, term) AS INT) AS rank FROM c QUALIFY rank <= {k})"
+
+
+def _representatives() -> str:
+    return _embedded() + f""", t0 AS (SELECT *, {_TOKENS} AS ts FROM e),
+      t1 AS (SELECT cluster_name, ingest_seq, unnest(list_concat(ts, list_transform(ts[:len(ts) - 1], lambda x, i: x || ' ' || ts[i + 1]))) AS t FROM t0),
+      tf AS (SELECT cluster_name, ingest_seq, t, count(*) AS tf FROM t1 GROUP BY ALL),
+      size AS (SELECT cluster_name, count(*) AS n FROM e GROUP BY 1),
+      idf AS (SELECT cluster_name, t, ln((any_value(n) + 1) / (count(*) + 1)) + 1 AS idf, any_value(n) AS n FROM tf JOIN size USING (cluster_name) GROUP BY ALL),
+      wt AS (SELECT cluster_name, ingest_seq, t, n, tf * idf AS w FROM tf JOIN idf USING (cluster_name, t)),
+      nm AS (SELECT cluster_name, ingest_seq, sqrt(sum(w * w)) AS norm FROM wt GROUP BY ALL),
+      un AS (SELECT cluster_name, ingest_seq, t, n, w / norm AS u FROM wt JOIN nm USING (cluster_name, ingest_seq)),
+      ce AS (SELECT cluster_name, t, sum(u) / any_value(n) AS c FROM un GROUP BY ALL),
+      sc AS (SELECT cluster_name, ingest_seq, round(sum(u * c), 9) AS score FROM un JOIN ce USING (cluster_name, t) GROUP BY ALL),
+      rw AS (SELECT e.cluster_name, e.ingest_seq, lower(subject) AS s, coalesce(score, 0.0) AS score FROM e LEFT JOIN sc USING (cluster_name, ingest_seq)),
+      be AS (SELECT * FROM rw QUALIFY row_number() OVER (PARTITION BY cluster_name, s ORDER BY score DESC, ingest_seq) = 1)
+      SELECT cluster_name, ingest_seq, CAST(row_number() OVER (PARTITION BY cluster_name ORDER BY score DESC, ingest_seq) AS INT) AS rank FROM be QUALIFY rank <= 3"""
+
+
+def _named_clusters() -> str:
+    hits = ", ".join(f"{{'s': {' + '.join(f'CAST(max(contains(lower(text), {q(w.lower())})) AS INT)' for w in ws_)}, 'o': {-i}, 'name': {q(n)}}}" for i, (n, ws_) in enumerate(TOPICS.items()))
+    start = MAIL + ", x AS (SELECT cluster_name, subject_normalized || ' ' || clean_body AS text FROM mail)" + _top_terms("x", 1)
+    return start + f", h AS (SELECT cluster_name, list_max([{hits}]) AS b FROM x GROUP BY 1) SELECT h.cluster_name, CASE WHEN b.s > 0 THEN b.name ELSE coalesce(term, 'נושא_' || h.cluster_name) END AS name FROM h LEFT JOIN tt USING (cluster_name)"
+
+
 def _rules() -> str:
     """Texts, rules as rows, scores by joining them."""
     words = ", ".join(f"({i}, {q(r.name)}, {r.priority}, {j}, {q(w)}, {q(C._clean(w))})" for i, r in enumerate(C.RULES) for j, w in enumerate(r.keywords))
@@ -146,9 +215,11 @@ def _rules() -> str:
       t AS (SELECT ingest_seq, ord, arg_max(sub, s * 1000 - j) AS sub, max(s) AS s FROM t0 GROUP BY ingest_seq, ord),
       sc AS (SELECT m.ingest_seq, m.ord, m.name, m.priority, CAST(m.s - 4.0 * coalesce(n.n, 0) AS DOUBLE) AS score, m.matched, CASE WHEN t.s > 0 THEN t.sub ELSE '' END AS subtopic FROM m LEFT JOIN n USING (ingest_seq, ord) LEFT JOIN t USING (ingest_seq, ord)),
       noise AS (SELECT ingest_seq, list_bool_or(list_transform([{', '.join(map(q, A.SYSTEM_WORDS))}], lambda w: contains(concat_ws(' ', xs, substr(xb, 1, 400), xf, xn), w))) AS is_noise FROM x),
-      best AS (SELECT ingest_seq, arg_max(name, score * 1000000 + priority * 1000 - ord) AS name, max(score) AS score FROM sc GROUP BY ingest_seq),
+      best AS (SELECT ingest_seq, arg_max(name, score * 1000000 + priority * 1000 - ord) AS name, max(score) AS score, arg_max(matched, score * 1000000 + priority * 1000 - ord) AS matched, arg_max(subtopic, score * 1000000 + priority * 1000 - ord) AS subtopic FROM sc GROUP BY ingest_seq),
       cl AS (SELECT x.*, CASE WHEN is_noise THEN {q(C.NOISE)} WHEN best.score < 4.0 THEN {q(C.MANUAL)} ELSE best.name END AS knowledge_topic,
-               CASE WHEN is_noise THEN 0.0 WHEN best.score < 4.0 THEN greatest(best.score, 0.0) ELSE best.score END AS knowledge_score, NOT is_noise AND best.score < 4.0 AS knowledge_review_required, is_noise AS is_system_noise
+               CASE WHEN is_noise THEN 0.0 WHEN best.score < 4.0 THEN greatest(best.score, 0.0) ELSE best.score END AS knowledge_score, NOT is_noise AND best.score < 4.0 AS knowledge_review_required, is_noise AS is_system_noise,
+               CASE WHEN is_noise THEN {q(C.NOISE_SUB)} ELSE coalesce(CASE WHEN best.score >= 4.0 THEN nullif(best.subtopic, '') END, nullif({strip('llm_subtopic')}, ''), {_fallback_subtopic()}) END AS knowledge_subtopic,
+               CASE WHEN is_noise THEN '' ELSE replace(best.matched, ';', '; ') END AS knowledge_matched_terms, coalesce(nullif(clean_body, ''), body) AS body_for_pack
              FROM x JOIN noise USING (ingest_seq) JOIN best USING (ingest_seq))
     """
 
@@ -195,7 +266,11 @@ def statements() -> dict[str, str]:
     low = "lower(subject || chr(10) || clean_body)"
     fl = {"complaint": word(low, A.COMPLAINT), "request": word(low, A.REQUEST), "urgent": word(low, A.URGENT), "question": f"(contains({low}, '?') OR contains({low}, '؟') OR {word(low, A.QUESTION)})"}
     script = "substr(text, 1, 4000)"
-    quality = rx("subject", r"[^\x{20}-\x{7e}א-ת×ÃÂ\x{fffd}]")
+    control = r"[\x{00}-\x{08}\x{0b}\x{0c}\x{0e}-\x{1f}\x{7f}-\x{9f}]"
+    unprintable = r"[\p{Cc}\p{Cf}\p{Co}\p{Cs}\p{Zl}\p{Zp}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
+    damage = " + ".join(count_of("body", k) for k in ("×", "Ã", "Â", "׳", "ֲ", "ג€", "ן¿½"))
+    breaks = r"[\r\n\t]"
+    score = f"(length(body) - {matching(rx('body', breaks), unprintable)}) / length(body) * 20.0 + {matching('body', '[א-ת]')} * 3 + {matching('body', '[a-zA-Z]')} * 0.25 - ({count_of('body', chr(0xFFFD))} + {count_of('body', '?')}) * 50 - ({damage}) * 30 - {matching('body', control)} * 15"
     key = lambda n, c: f"'{n}:' || substr({stable(jpart(c))}, 1, 24)"
     some = lambda c: f"coalesce({c}, '') <> ''"
     native = f"CASE WHEN {some('conversation_id')} THEN {key('native', 'conversation_id')} WHEN {some('reference_ids[1]')} THEN {key('refs', 'reference_ids[1]')} WHEN {some('in_reply_to')} THEN {key('reply', 'in_reply_to')} END"
@@ -211,16 +286,16 @@ def statements() -> dict[str, str]:
         "clean_body": _clean(),
         "word_count": one("documents", "doc_id", f"CAST({words('coalesce(text, ' + q('') + ')')} AS BIGINT)"),
         "strip_control": one("documents", "doc_id", rx("text", r"[\x{00}-\x{08}\x{0b}-\x{1f}]")),
-        "normalize_search_text": one("messages", "ingest_seq", search_text("subject_raw")),
+        "normalize_search_text": one("messages", "ingest_seq", search_text("body_text_raw")),
         "subject_snippet": one("messages", "ingest_seq", f"coalesce(nullif(substr({ws(subject('subject_raw'))}, 1, 120), ''), {q(NO_TITLE)})"),
-        "embedding_text": m(ws("subject || chr(10) || subject || chr(10) || substr(body, 1, 300)")),
-        "tokens": m(r"array_to_string(regexp_extract_all(lower(subject), '[\x{590}-\x{5ff}A-Za-z0-9][\x{590}-\x{5ff}A-Za-z0-9_-]+'), ' ')"),
+        "embedding_text": m(ws("subject || chr(10) || subject || chr(10) || substr(body, 1, 3500)")),
+        "tokens": m(r"array_to_string(regexp_extract_all(lower(body), '[\x{590}-\x{5ff}A-Za-z0-9][\x{590}-\x{5ff}A-Za-z0-9_-]+'), ' ')"),
         "sanitize_filename": f"SELECT attachment_id, record_id, {name} AS value FROM attachments",
         "truncate_body": one("documents", "doc_id", f"CASE WHEN length(text) > 500 THEN {rx('substr(text, 1, 500)', f'[{WS}]+$')} || chr(10) || '[truncated]' ELSE text END"),
         "split_header": one("emails_raw", "row_id", f"array_to_string(list_filter(list_transform(string_split(replace(to_emails, ';', ','), ','), lambda x: {strip('x')}), lambda x: x <> ''), '|')"),
         "clean_header_id": one("raw_messages", "raw_id", f"nullif({rx(strip('message_id'), '^[<>]+|[<>]+$')}, '')"),
         "as_float": f"SELECT row_id, try_cast({strip('word_count')} AS DOUBLE) AS value, try_cast({strip('nested_depth')} AS DOUBLE) AS depth FROM emails_raw",
-        "text_quality": one("emails_raw", "row_id", f"CASE WHEN length({quality}) = 0 THEN -1000000.0 ELSE round(20.0 + {matching(quality, '[א-ת]')} * 3 + {matching(quality, '[a-zA-Z]')} * 0.25 - ({count_of(quality, chr(0xFFFD))} + {count_of(quality, '?')}) * 50 - ({count_of(quality, '×')} + {count_of(quality, 'Ã')} + {count_of(quality, 'Â')}) * 30, 6) END"),
+        "text_quality": one("emails_raw", "row_id", f"CASE WHEN length(body) = 0 THEN -1000000.0 ELSE round({score}, 6) END"),
         "content_hash": m(f"sha256(lower(subject_normalized || chr(10) || {strip('clean_body')}))"),
         "record_id": one("messages", "ingest_seq", f"substr({rec}, 1, 24)"),
         "week_bucket": one("messages", "ingest_seq", f"CASE WHEN sent_at IS NOT NULL THEN {_WEEK.format('sent_at')} END"),
@@ -240,7 +315,7 @@ def statements() -> dict[str, str]:
         "domain_name": m(_best_topic("", "lower(subject || ' ' || body)", "NULL", False)),
         "legacy_topic": m(_best_topic("lower(subject)", "lower(concat_ws(chr(10), subject, clean_body, folder_path))", "cluster_name", True)),
         "dedup_mark": KEYS + ", f AS (SELECT *, first_value(ingest_seq) OVER w AS fs, first_value(record_id) OVER w AS fr FROM k WINDOW w AS (PARTITION BY dedup_key ORDER BY order_date, record_id NULLS FIRST, ingest_seq)) SELECT ingest_seq, record_id, fs <> ingest_seq AS is_duplicate, CASE WHEN fs <> ingest_seq THEN fr END AS duplicate_of FROM f",
-        "group_duplicates": KEYS + ", f AS (SELECT *, first_value(record_id) OVER (PARTITION BY dedup_key ORDER BY order_date, record_id NULLS FIRST, ingest_seq) AS fr FROM k) SELECT fr AS canonical, count(*) AS members, string_agg(CAST(ingest_seq AS VARCHAR), ';' ORDER BY ingest_seq) AS ingest_seqs FROM f GROUP BY fr",
+        "group_duplicates": KEYS + ", f AS (SELECT *, first_value(record_id) OVER (PARTITION BY dedup_key ORDER BY order_date, record_id NULLS FIRST, ingest_seq) AS fr FROM k) SELECT ingest_seq, fr AS canonical, count(*) OVER (PARTITION BY fr) AS members FROM f",
         "thread_keys": f"SELECT ingest_seq, coalesce({native}, {synthetic}) AS built_thread_key, {synthetic} AS synthetic_key FROM messages",
         "thread_position": KEYS + "SELECT ingest_seq, thread_key, CAST(row_number() OVER (PARTITION BY thread_key ORDER BY order_date, record_id NULLS FIRST, ingest_seq) AS INT) AS position FROM k",
         "thread_summary": KEYS + f"SELECT thread_key, count(*) AS message_count, min({_AT}) AS first_message_at, max({_AT}) AS last_message_at, first(coalesce(subject_normalized, '') ORDER BY order_date, record_id NULLS FIRST, ingest_seq) AS subject_normalized, array_to_string(list_sort(list_distinct(flatten(list({people})))), ';') AS participants, CAST(sum(CAST(coalesce(is_duplicate, false) AS INT)) AS BIGINT) AS duplicate_count, bool_or(has_attachments) AS has_attachments, string_agg(DISTINCT source_pst, ';' ORDER BY source_pst) AS source_psts FROM k GROUP BY thread_key",
@@ -257,7 +332,9 @@ def statements() -> dict[str, str]:
         "top_senders": "SELECT from_email, count(*) AS n FROM emails_raw GROUP BY 1 ORDER BY n DESC, from_email LIMIT 10",
         "cluster_stats": MAIL + "SELECT cluster_name, count(*) AS emails, count_if(is_filtered = 'True') AS filtered, count(DISTINCT from_email) AS senders FROM mail GROUP BY 1",
         "date_range": MAIL + f"SELECT folder_path, {date_text('min(date_sort)')} AS first_date, {date_text('max(date_sort)')} AS last_date FROM mail GROUP BY 1",
-        "top_terms": MAIL + r", w AS (SELECT cluster_name, unnest(regexp_extract_all(lower(subject), '[\x{590}-\x{5ff}A-Za-z0-9][\x{590}-\x{5ff}A-Za-z0-9_-]+')) AS term FROM mail), " + "c AS (SELECT cluster_name, term, count(*) AS n FROM w WHERE length(term) > 2 AND term NOT IN ('של', 'על', 'את', 'לא', 'עם', 'כל', 'גם', 'זה', 'the', 'and', 'for', 'with', 'that', 'this', 'you', 'are', 'was') GROUP BY ALL), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster_name ORDER BY n DESC, term) AS INT) AS rank FROM c) SELECT cluster_name, term, n, rank FROM r WHERE rank <= 5",
+        "top_terms": _embedded() + _top_terms("e", 5) + " SELECT cluster_name, term, n, rank FROM tt",
+        "representatives": _representatives(),
+        "name_clusters": _named_clusters(),
         "row_topic": MAIL + f"SELECT ingest_seq, coalesce(nullif({strip('llm_topic')}, ''), nullif({strip('cluster_name')}, ''), '') AS topic FROM mail",
         "search_topic": _search(topic="Inbox", limit=50),
         "search_person": _search(person="dana.morvane"),
@@ -273,6 +350,12 @@ def statements() -> dict[str, str]:
         "pack_excluded": _rules() + f"SELECT ingest_seq FROM cl WHERE NOT ({_KEEP})",
         "pack_people": _rules() + f", kept AS (SELECT * FROM cl WHERE {_KEEP})" + _summary("from_email", "knowledge_topic", 6, "person", "top_topics", "kept") + " ORDER BY email_count DESC, person LIMIT 60",
         "review_queue": _rules() + ", v AS (SELECT *, array_to_string(list_filter([CASE WHEN knowledge_review_required THEN 'manual_review' END, CASE WHEN knowledge_score < 4.0 THEN 'low_score' END, " + f"CASE WHEN {strip('subject')} = '' THEN 'missing_subject' END, CASE WHEN length(coalesce(nullif(clean_body, ''), body)) < 180 THEN 'short_body' END], lambda z: z IS NOT NULL), '; ') AS review_reason FROM cl) SELECT ingest_seq, review_reason, knowledge_topic, CAST(knowledge_score AS DOUBLE) AS knowledge_score, message_id, from_email, subject FROM v WHERE review_reason <> ''",
+        "render_email": _rules() + _rendered() + " SELECT ingest_seq, text FROM r",
+        "greedy_pack": _packs() + "SELECT knowledge_topic, ingest_seq, part, place, chars FROM packed",
+        "manifest": _packs() + f", mf AS (SELECT full_rows.*, printf('sources/%s__part_%03d.docx', slug, part) AS source_file FROM full_rows JOIN slugs USING (knowledge_topic)) SELECT knowledge_topic, knowledge_subtopic, source_file, source_file || printf(' / EMAIL %04d', place) AS source_locator, part, place, ingest_seq, message_id, from_email, subject FROM mf",
+        "pack_topics": _packs() + f"SELECT f.knowledge_topic, count(*) AS email_count, max(part) AS source_file_count, {date_text('min(date_sort)')} AS first_date, {date_text('max(date_sort)')} AS last_date, any_value(top_people) AS top_people, any_value(top_subtopics) AS top_subtopics FROM full_rows f LEFT JOIN {_tops('knowledge_topic', 'from_email', 8, 'top_people', 'from_email <> ' + q(''))} p USING (knowledge_topic) LEFT JOIN " + _tops("knowledge_topic", "knowledge_subtopic", 5, "top_subtopics", shown="knowledge_subtopic || ' (' || n || ')'") + " u USING (knowledge_topic) GROUP BY 1",
+        "part_header": _packs() + f"SELECT f.knowledge_topic, f.part, count(*) AS email_count, {date_text('min(date_sort)')} AS first_date, {date_text('max(date_sort)')} AS last_date, any_value(top_people) AS top_people FROM full_rows f LEFT JOIN {_tops('knowledge_topic, part', 'from_email', 8, 'top_people', 'from_email <> ' + q(''))} p USING (knowledge_topic, part) GROUP BY 1, 2",
+        "pack_totals": _packs() + "SELECT count(*) AS emails, count(DISTINCT (knowledge_topic, part)) AS files FROM packed",
         "distinct_vectors": "SELECT count(DISTINCT list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 8))) AS vectors FROM embeddings",
     }
     return out

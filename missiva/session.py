@@ -28,13 +28,15 @@ def build_session(app: str = "missiva", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests, a laptop) a temporary folder takes its place.
+    Only where that is unset and the master is local (tests, a laptop) a temporary folder takes its place.
     """
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir", None)
     if where is None:
         where = sc.getCheckpointDir()
     if where is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + os.path.join(tempfile.gettempdir(), f"missiva-{sc.applicationId}")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(where)

@@ -8,7 +8,7 @@ from missiva.operators import archive as A
 from missiva.operators import classify as C
 from missiva.operators import learning as L
 from missiva.operators.cleaning import clean
-from missiva.operators.packing import greedy_parts
+from missiva.operators.ordering import greedy_parts, numbered
 from missiva.sources import tables
 from missiva.sources.eml import parse
 
@@ -55,6 +55,70 @@ def test_greedy_parts_match_a_fold(spark):
     assert got == want
 
 
+def test_greedy_parts_across_slices(spark):
+    """One group holds most rows and lies in several slices; null groups, null and oversized rows, equal orders of groups."""
+    rng = random.Random(7)
+    rows = [(k, "hot" if k % 5 else rng.choice(["a", None, "z"]), rng.choice([None, 0, 5, 50, 130, 700]), "clash") for k in range(900)]
+    df = spark.createDataFrame(rows, "k int, g string, size int, _n string")
+    want = {}
+    for g in ("hot", "a", None, "z"):
+        part, n, total = 0, 0, 0
+        for k, h, s, _ in rows:
+            if h == g:
+                s = s or 0
+                if not n or n >= 7 or total + s > 400:
+                    part, n, total = part + 1, 0, 0
+                n, total = n + 1, total + s
+                want[k] = part, n
+    for slices in (1, 3, 40, 200):
+        got = {r.k: (r.part, r.place) for r in greedy_parts(df, "g", ["k"], "size", 400, 7, slices).collect()}
+        assert got == want, slices
+    assert greedy_parts(df.limit(0), "g", ["k"], "size", 400, 7).count() == 0
+
+
+def test_places_of_hot_groups(spark):
+    rows = [(k * 37 % 500, "hot" if k % 4 else None if k % 8 else "b") for k in range(500)]
+    df = spark.createDataFrame(rows, "k int, g string")
+    plain = {r.k: r.place for r in numbered(df, "g", [F.desc("k")], "place").collect()}
+    assert {r.k: r.place for r in numbered(df, "g", [F.desc("k")], "place", hot_rows=50).collect()} == plain
+    for g in ("hot", None, "b"):
+        keys = sorted((k for k, h in rows if h == g), reverse=True)
+        assert [plain[k] for k in keys] == list(range(1, len(keys) + 1))
+    assert numbered(df.limit(0), "g", ["k"], "place").count() == 0
+
+
+def test_names_of_groups_can_be_written(spark, tmp_path):
+    df = spark.createDataFrame([("a", "pension pension"), ("b", "zebra zebra crossing"), ("c", None)], "cluster_name string, text string")
+    L.name_clusters(df, "cluster_name", "text", {"money": ["pension"]}).write.parquet(str(tmp_path / "names"))
+    got = {r.cluster_name: r.name for r in spark.read.parquet(str(tmp_path / "names")).collect()}
+    assert got == {"a": "money", "b": "zebra", "c": "נושא_c"}
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    import pytest
+
+    from missiva.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+
+
 def test_search_and_rules(spark):
     mail = spark.createDataFrame([(1, "m1", "Early retirement", "", "a@x.example", "inbox"), (2, "m2", "hello", "undeliverable", "b@x.example", "inbox"), (3, "m3", "", "", "", "")], "ingest_seq long, message_id string, subject string, clean_body string, from_email string, folder_path string")
     mail = A.with_columns(mail, [*A.SEARCH_COLUMNS, "body", "cc_emails", "bcc_emails"]).withColumn("date_sort", F.lit(None).cast("timestamp"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # White space as str.strip() has it (WS), the same without line feed (WSL), reply prefixes.
 WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WSL = r"\t\x{0b}-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 PREFIXES = "re|fw|fwd|sv|aw|wg|תגובה|השב|הועבר|העברה"
 FORWARD, REPLY = "fw|fwd|הועבר|העברה", "re|תגובה|השב"
 CONTROL = r"[\x{00}-\x{08}\x{0b}-\x{1f}]"
@@ -26,16 +27,15 @@ def let(value: Column, body) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(col(c), rf"\A[{WS}]+|[{WS}]+\z", "")
+    return F.btrim(col(c), F.lit(_WS_CHARS))
 
 
 def normalize_whitespace(c: Column | str) -> Column:
     """LF line ends, single blanks within lines, no blanks around them, at most one blank line together; null stays null."""
-    t = F.regexp_replace(col(c), r"\r\n?", "\n")
-    t = F.regexp_replace(t, r"[ \t]+", " ")
-    t = F.regexp_replace(t, rf"(\A|\n)[{WSL}]+", "$1")
-    t = F.regexp_replace(t, rf"[{WSL}]+(\n|\z)", "$1")
-    return strip(F.regexp_replace(t, r"\n{3,}", "\n\n"))
+    t = F.replace(F.replace(col(c), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    t = F.regexp_replace(t, r"[ \t]{2,}|\t", " ")
+    lines = F.transform(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(_WS_CHARS.replace("\n", ""))))
+    return strip(F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n"))
 
 
 def normalize_subject(c: Column | str) -> Column:
@@ -77,9 +77,8 @@ def strip_control(c: Column | str) -> Column:
 
 
 def search_text(c: Column | str) -> Column:
-    """Lower case, with a blank for everything but letters, digits and the Hebrew block."""
-    t = F.lower(normalize_whitespace(F.coalesce(col(c), F.lit(""))))
-    return strip(F.regexp_replace(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}_{WS}\x{{590}}-\x{{5ff}}]+", " "), rf"[{WS}]+", " "))
+    """Lower case, with one blank in place of each run that holds no letter, digit, underscore or Hebrew mark; null gives ""."""
+    return F.btrim(F.regexp_replace(F.lower(F.coalesce(col(c), F.lit(""))), r"[^a-z\x{590}-\x{5ff}0-9_\pL\pN]+", " "))
 
 
 def subject_snippet(c: Column | str, longest: int = 120) -> Column:

@@ -161,7 +161,7 @@ def encoding_corrupt(c: Column) -> Column:
 
 
 def has_domain_term(c: Column) -> Column:
-    return F.exists(F.array(*map(F.lit, DOMAIN_TERMS)), lambda t: F.contains(c, t))
+    return T.let(c, lambda text: F.exists(F.array(*map(F.lit, DOMAIN_TERMS)), lambda t: F.contains(text, t)))
 
 
 def filter_reason(subject: Column, body: Column, sender: Column, min_words: int = 5) -> Column:
@@ -175,7 +175,7 @@ def filter_reason(subject: Column, body: Column, sender: Column, min_words: int
 def system_noise(subject: Column, body: Column, folder: Column, sender: Column) -> Column:
     """Whether the search texts (``search_text``) of a message hold a system word within their first part."""
     blob = F.concat_ws(" ", subject, F.substring(body, 1, 400), folder, sender)
-    return F.exists(F.array(*map(F.lit, SYSTEM_WORDS)), lambda w: F.contains(blob, w))
+    return T.let(blob, lambda b: F.exists(F.array(*map(F.lit, SYSTEM_WORDS)), lambda w: F.contains(b, w)))
 
 
 def detect_language(c: Column) -> Column:

@@ -14,12 +14,13 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from missiva.llm.samples import most_frequent
+from missiva.llm.samples import most_frequent, most_frequent_by
 from missiva.session import cut, drop
 
 LANGS = ["en", "he", "ru", "ar", "fr", "de", "es", "pt"]
-#: Words the model keeps of all languages together, the most frequent first.
-VOCABULARY = 200_000
+#: Words the model holds of each language, the most frequent first; the rest go by their character n-grams, which are
+#: counted over all words and of which it holds so many.
+VOCABULARY, GRAMS = 30_000, 200_000
 
 # Function words that tell the languages in Latin script apart.
 SEEDS = {
@@ -164,41 +165,37 @@ def _count(batches):
 class LanguageModel:
     """Log frequencies of words and of character n-grams in each language."""
 
-    def __init__(self, counts: list[tuple[int, str, int]]):
+    def __init__(self, counts: list[tuple[int, str, int]], gram_counts: list[tuple[int, str, float]], totals: list[int], spread: int, gram_totals: dict[tuple[int, int], float]):
+        """counts: of words held; gram_counts: of n-grams held; totals, gram_totals: over all words by language, and by length and language; spread: distinct words in all."""
         size = len(LANGS)
-        totals, words, grams, gram_totals = [1.0] * size, {}, {}, [[1.0] * size for _ in range(5)]
+        words: dict[str, list[int]] = {}
+        grams: dict[str, list[float]] = {}
         for k, w, n in counts:
             words.setdefault(w, [0] * size)[k] += n
-            totals[k] += n
-        for w, by in words.items():
-            t = f" {w} "
-            for k, n in enumerate(by):
-                if n:
-                    weight = 1 + math.log(n)  # types rather than tokens shape unseen words
-                    for m in range(1, 5):
-                        for i in range(len(t) - m + 1):
-                            grams.setdefault(t[i : i + m], [0.0] * size)[k] += weight
-                            gram_totals[m][k] += weight
-        spread = max(1, len(words))
-        self.words = {w: tuple(math.log((n + 0.05) / (totals[k] + 0.05 * spread)) for k, n in enumerate(by)) for w, by in words.items()}
+        for k, g, n in gram_counts:
+            grams.setdefault(g, [0.0] * size)[k] += n
+        self.words = {w: tuple(math.log((n + 0.05) / (1 + totals[k] + 0.05 * max(1, spread))) for k, n in enumerate(by)) for w, by in words.items()}
         self.counts = {w: tuple(by) for w, by in words.items()}
-        self.grams = {g: tuple(math.log((n + 0.05) / (gram_totals[len(g)][k] + 500)) for k, n in enumerate(by)) for g, by in grams.items() if sum(by) > 1 or len(g) < 3}
+        self.grams = {g: tuple(math.log((n + 0.05) / (gram_totals.get((len(g), k), 0.0) + 501)) for k, n in enumerate(by)) for g, by in grams.items() if sum(by) > 1 or len(g) < 3}
         self.blank = tuple([0.0] * size)
 
-    def word(self, w: str) -> tuple[tuple[float, ...], bool]:
-        """Scores of a word, and whether it is known."""
+    def word(self, w: str) -> tuple[tuple[float, ...], int]:
+        """Scores of a word, and how they come about: 5 it is known, else the length of the n-grams, 0 where there are none."""
         known = self.words.get(w)
         if known is not None:
-            return known, True
+            return known, 5
         t = f" {w} "
         for m in (4, 3, 2, 1):
             got = [g for g in (self.grams.get(t[i : i + m]) for i in range(len(t) - m + 1)) if g is not None]
             if got and 2 * len(got) >= len(t) - m + 1:
-                return tuple(sum(g[k] for g in got) / len(got) for k in range(len(LANGS))), False
-        return self.blank, False
+                return tuple(sum(g[k] for g in got) / len(got) for k in range(len(LANGS))), m
+        return self.blank, 0
 
     def judge(self, text: str) -> tuple[str | None, float, int]:
-        """``(language, confidence, words of it that are known)`` of a segment; None without words."""
+        """``(language, confidence, words that are its own)`` of a segment; None without words.
+
+        Its own are known words no other language has twice as often, and unseen words whose longer n-grams speak for it most.
+        """
         words = _spoken(text)
         if not words:
             return None, 0.0, 0
@@ -208,21 +205,34 @@ class LanguageModel:
             scores, known = self.word(w)
             for k in range(size):
                 sums[k] += scores[k]
-            if known:
-                seen.append(w)
+            if known > 2:
+                seen.append((w, scores, known))
         best = max(range(size), key=sums.__getitem__)
         top = sums[best]
         rest = sum(math.exp(max(-60.0, s - top)) for s in sums)
-        own = sum(1 for w in seen if 2 * self.counts[w][best] >= max(self.counts[w]))
+        own = sum(1 for w, scores, known in seen if (2 * self.counts[w][best] >= max(self.counts[w]) if known == 5 else scores[best] == max(scores)))
         return LANGS[best], 1 / rest, own
 
 
-def fit_languages(texts: DataFrame, vocabulary: int = VOCABULARY) -> LanguageModel:
-    """Count the words of every text of ``texts(text)``; the driver gets the ``vocabulary`` most frequent."""
+def fit_languages(texts: DataFrame, vocabulary: int = VOCABULARY, most_grams: int = GRAMS) -> LanguageModel:
+    """Count the words and character n-grams of every text of ``texts(text)``.
+
+    The driver gets the ``vocabulary`` most frequent words of each language and the ``most_grams`` weightiest n-grams.
+    """
     counts = cut(texts.select("text").mapInArrow(_count, "lang int, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    kept = [(r.lang, r.word, r.n) for r in most_frequent(counts, "n", vocabulary).collect()]
+    totals = {r.lang: r for r in counts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
+    spread = counts.select("word").distinct().count()
+    # Types rather than tokens shape unseen words.
+    spelt = counts.select("lang", F.concat(F.lit(" "), "word", F.lit(" ")).alias("t"), (1 + F.log(F.col("n").cast("double"))).alias("weight"))
+    pieces = F.expr("flatten(transform(sequence(1, 4), m -> if(length(t) >= m, transform(sequence(1, length(t) - m + 1), i -> substr(t, i, m)), array())))")
+    grams = cut(spelt.select("lang", "weight", F.explode(pieces).alias("gram")).groupBy("lang", "gram").agg(F.sum("weight").alias("weight")))
+    sums = {(r.m, r.lang): r.weight for r in grams.groupBy("lang", F.length("gram").alias("m")).agg(F.sum("weight").alias("weight")).collect()}
+    ranked = grams.withColumn("_rank", F.floor(F.log(F.col("weight") + 1) * 1000).cast("bigint"))  # classes of about equal weight
+    gram_rows = [(r.lang, r.gram, r.weight) for r in most_frequent(ranked, "_rank", most_grams).collect()]
+    kept = [(r.lang, r.word, r.n) for r in most_frequent_by(counts, "lang", "n", vocabulary).collect()]
     drop(counts)
-    return LanguageModel(kept)
+    drop(grams)
+    return LanguageModel(kept, gram_rows, [totals[k].n if k in totals else 0 for k in range(len(LANGS))], spread, sums)
 
 
 class Judge:

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from missiva.llm.tokens import TOKENIZER_DIR, blank, with_ids
 
-#: Blocks a source is laid into.
-BLOCKS = 1024
+#: Blocks a source is laid into, and parts a cut block is laid into; tokens that a shard is to hold, and a task of it.
+BLOCKS, SHARD_TOKENS, TASK_TOKENS = 1024, 1 << 30, 1 << 25
+#: A plan of more rows is joined by a shuffle instead of sent to all executors.
+PLAN_ROWS = 200_000
 
 
 def split_tree(counts: np.ndarray, shards: int, rng: np.random.Generator) -> list[np.ndarray]:
@@ -53,14 +55,15 @@ def plan_quotas(sums: dict[str, float], targets: list[tuple[str, float, int]], t
     return {s: w * size for s, w, _ in live}
 
 
-def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, shards: int = 16, seed: int = 20, name: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, blocks: int = BLOCKS) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, shards: int | None = None, seed: int = 20, name: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, blocks: int = BLOCKS) -> DataFrame:
     """``(source, doc_id, repeat, tokens, shard, position)``: one row for each text in the mix.
 
     targets: ``(source, target_share, max_repeats)``, at most a few thousand sources. Each distinct
     text of a source appears at most ``max_repeats`` times (repeat counts from 0); of documents
     with the same text the lowest ``doc_id`` stands for all. Documents of other sources, without a
     source, id or text are left out. A source's tokens miss its quota by less than half a text
-    plus rounding. Empty tables give an empty mix.
+    plus rounding. Empty tables give an empty mix. shards: by default as many as the mix has
+    ``SHARD_TOKENS``, 16 at least; a large shard lies in several tasks, in ranges of its order.
     """
     from missiva.session import cut
 
@@ -86,6 +89,8 @@ def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, shards:
             rest -= t
             if rest <= 0:
                 break
+    size = sum(min(quotas[s], float(whole[s]) * 2**31) for s in quotas)
+    shards = shards or max(16, -int(-size // SHARD_TOKENS))
     # Block quotas among shards, and the blocks themselves in a permuted order.
     names = sorted(quotas)
     by_source = {s: [t for t in taken if t[0] == s] for s in names}
@@ -97,14 +102,23 @@ def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, shards:
         for shard, leaf in enumerate(leaves):
             placed += [(*x, shard) for x in order[at : at + int(leaf[i])]]
             at += int(leaf[i])
-    plan = spark.createDataFrame(placed, "source string, repeat int, block int, upto bigint, shard int")  # bounded by sources x blocks x repeats
-    joined = rows.join(F.broadcast(plan), ["source", "block"])
+    plan = spark.createDataFrame(placed, "source string, repeat int, block int, upto bigint, shard int")  # sources x blocks x repeats rows
+    joined = rows.join(F.broadcast(plan) if len(placed) <= PLAN_ROWS else plan, ["source", "block"])
     inside = joined.filter("upto < 0")
-    # The one cut block of a source is summed up in hash order; a text that crosses the quota by less than half stays.
-    order = Window.partitionBy("source", "block", "repeat").orderBy("h", "doc_id")
-    edge = joined.filter("upto >= 0").withColumn("_sum", F.sum("tokens").over(order)).filter("_sum - tokens / 2 <= upto").drop("_sum")
+    # The one cut block of a source is laid into parts of its own; the parts are taken in order, whole until one is cut,
+    # and only that one is summed up row by row, in hash order; a text that crosses the quota by less than half stays.
+    edge = joined.filter("upto >= 0").withColumn("_part", F.pmod(F.xxhash64(F.lit(seed + 2), "h"), F.lit(blocks)).cast("int"))
+    parts = edge.groupBy("source", "block", "repeat", "_part").agg(F.sum("tokens").alias("_tokens"))  # one block a source: sources x blocks rows
+    before = Window.partitionBy("source", "block", "repeat").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_tokens").over(before), F.lit(0))).select(F.col("source").alias("_s"), F.col("_part").alias("_p"), "_before", "_tokens")
+    edge = edge.join(parts, (F.col("source") == F.col("_s")) & (F.col("_part") == F.col("_p"))).filter("_before < upto")
+    order = Window.partitionBy("source", "block", "repeat", "_part").orderBy("h", "doc_id")
+    taken_whole = edge.filter("_before + _tokens <= upto")
+    last = edge.filter("_before + _tokens > upto").withColumn("_sum", F.col("_before") + F.sum("tokens").over(order)).filter("_sum - tokens / 2 <= upto")
+    edge = taken_whole.select(*joined.columns).unionByName(last.select(*joined.columns))
     out = inside.unionByName(edge).withColumn("_at", F.xxhash64(F.lit(seed + 1), "h", "repeat"))
-    return out.repartition(shards, "shard").sortWithinPartitions("shard", "_at").select("source", "doc_id", "repeat", "tokens", "shard", F.col("_at").alias("position"))
+    tasks = max(shards, -int(-size // TASK_TOKENS))
+    return out.repartitionByRange(tasks, "shard", "_at").sortWithinPartitions("shard", "_at").select("source", "doc_id", "repeat", "tokens", "shard", F.col("_at").alias("position"))
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:

@@ -34,3 +34,21 @@ def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
             break
         left, cut = left - r["_rows"], r["_n"]
     return counts.filter(F.col(n) >= cut) if cut is not None else hash_sample(counts, most // 2, *counts.columns)
+
+
+def most_frequent_by(counts: DataFrame, by: str, n: str, most: int) -> DataFrame:
+    """The same for each value of ``by``, of which there are few: at most ``most`` rows of each."""
+    left, cut = {}, {}
+    for r in counts.groupBy(F.col(by).alias("_by"), F.col(n).alias("_n")).agg(F.count("*").alias("_rows")).orderBy(F.desc("_n")).toLocalIterator():
+        have = left.get(r["_by"], most)
+        if have is not None and r["_rows"] <= have:
+            left[r["_by"]], cut[r["_by"]] = have - r["_rows"], r["_n"]
+        else:
+            left[r["_by"]] = None
+            if r["_by"] not in cut:  # the first class alone is too large: part of it, by a hash
+                cut[r["_by"]] = r["_n"], most / r["_rows"]
+    keep = F.lit(False)
+    for value, at in cut.items():
+        least = F.col(n) >= at if not isinstance(at, tuple) else (F.col(n) == at[0]) & (F.pmod(F.xxhash64(F.lit(11), *counts.columns), F.lit(_FINE)) < int(0.9 * _FINE * at[1]))
+        keep = keep | (F.col(by).eqNullSafe(F.lit(value)) & least)
+    return counts.filter(keep)

@@ -9,6 +9,9 @@ exactly, by identifier, and only they pass the second shuffle.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,19 +102,31 @@ def mark_deliveries(df: DataFrame, id_col: str = "message_id", order_col: str =
 class DeliveryStore:
     """Identifiers seen so far, for batches that arrive one after another.
 
-    Two tables in the shared folder: ``ids`` partitioned by time bucket, and ``filters``, the
-    Bloom words of each bucket. A batch is screened with the filters; only possible repeats are
-    compared with the identifiers, and only in the buckets whose filter matched.
+    In the shared folder each batch has a folder of its own with two tables, ``ids`` partitioned by
+    time bucket, and ``filters``, the Bloom words of each bucket; a batch counts from the moment
+    its mark lies in ``done``, which is made last and in one step. A batch whose addition fails
+    leaves nothing that counts and can be added again. A folder that cannot be read is an error. A
+    batch is screened with the filters; only possible repeats are compared with the identifiers,
+    and only in the buckets whose filter matched.
     """
 
     def __init__(self, spark, path: str, words: int = 1 << 34):
-        self.spark, self.path, self.words = spark, path, words
+        self.spark, self.path, self.words = spark, path.rstrip("/"), words
+
+    def _files(self, where: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(where)
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
+
+    def batches(self) -> list[str]:
+        """The batches that count."""
+        fs, path = self._files(f"{self.path}/done")
+        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except Exception:
-            return self.spark.createDataFrame([], schema)
+        known = [f"{self.path}/batches/{b}/{name}" for b in self.batches()]
+        tables = [self.spark.read.option("basePath", p).schema(schema).parquet(p) for p in known]
+        return reduce(DataFrame.unionByName, tables) if tables else self.spark.createDataFrame([], schema)
 
     def add(self, batch: DataFrame, id_col: str = "message_id", order_col: str = "ingest_seq", time_col: str = "received_at") -> DataFrame:
         """Pairs as in ``surplus_rows`` for this batch against itself and all batches before."""
@@ -127,7 +142,12 @@ class DeliveryStore:
         firsts = keyed.select("_seq", "_id").join(inside, "_id", "left").join(before, "_id", "left")
         pairs = cut(firsts.select(F.coalesce("_old", "_a", "_seq").alias("ingest_seq_a"), F.col("_seq").alias("ingest_seq_b")).filter("ingest_seq_a < ingest_seq_b"))
         fresh = keyed.join(before, "_id", "left_anti").groupBy("_id").agg(F.min("_seq").alias("_seq"), F.min("_bucket").alias("_bucket"), F.min("_word").alias("_word"), F.min("_mask").alias("_mask"))
-        fresh = cut(fresh)
-        fresh.select("_seq", "_id", "_bucket").write.mode("append").partitionBy("_bucket").parquet(f"{self.path}/ids")
-        fresh.groupBy("_word", "_bucket").agg(F.bit_or("_mask").alias("_bits")).write.mode("append").partitionBy("_bucket").parquet(f"{self.path}/filters")
+        self._commit(cut(fresh, keyed))
         return pairs
+
+    def _commit(self, fresh: DataFrame) -> None:
+        name = uuid.uuid4().hex
+        fresh.select("_seq", "_id", "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/batches/{name}/ids")
+        fresh.groupBy("_word", "_bucket").agg(F.bit_or("_mask").alias("_bits")).write.partitionBy("_bucket").parquet(f"{self.path}/batches/{name}/filters")
+        fs, mark = self._files(f"{self.path}/done/{name}")
+        fs.mkdirs(mark)

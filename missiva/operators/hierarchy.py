@@ -71,7 +71,7 @@ def loops(links: DataFrame, peel_rounds: int = 12) -> DataFrame:
         inner = edges.select(F.col("p").alias("v")).distinct()
         nodes = edges.join(inner, "v", "left_semi")  # a row that is nobody's parent is a leaf
         # an edge to a row that has no edge itself hangs below a root
-        nodes = cut(nodes.join(edges.select(F.col("v").alias("p")).distinct(), "p", "left_semi").select("v", "p"))
+        nodes = cut(nodes.join(edges.select(F.col("v").alias("p")).distinct(), "p", "left_semi").select("v", "p"), edges)
         now = nodes.count()
         edges, left, same = nodes, now, now == left
         if same:
@@ -80,10 +80,10 @@ def loops(links: DataFrame, peel_rounds: int = 12) -> DataFrame:
         return edges.select("v", F.col("v").alias("loop"))
     # What is left are loops, and middles of trees deeper than the rounds. After as many doublings
     # as cover all of it a row of a tree has run out; the others stand on a loop.
-    now, reach = edges.select("v", F.col("p").alias("nxt"), F.least("v", "p").alias("low")), 1
+    now, reach, files = edges.select("v", F.col("p").alias("nxt"), F.least("v", "p").alias("low")), 1, edges
     while reach < 2 * left:
         right = now.select(F.col("v").alias("_e"), F.col("nxt").alias("_nxt"), F.col("low").alias("_low"))
-        now = cut(now.join(right, F.expr("nxt = _e")).select("v", F.col("_nxt").alias("nxt"), F.least("low", "_low").alias("low")))
+        now = files = cut(now.join(right, F.expr("nxt = _e")).select("v", F.col("_nxt").alias("nxt"), F.least("low", "_low").alias("low")), files)
         reach *= 2
     # Every row still there runs into a loop; those that some row arrives at are on it.
     on = now.select(F.col("nxt").alias("v")).distinct()
@@ -116,9 +116,9 @@ def hierarchy(df: DataFrame, key: str = "raw_id", id_col: str = "message_id", pa
     rows. The claims of the data about depth are not read.
     """
     links = cut(parent_links(df, key, id_col, parent_col))
-    rings = cut(loops(links, peel_rounds))
+    rings = cut(loops(links, peel_rounds))  # read for the result too
     forest = links.join(rings, "v", "left").select("v", F.when(F.col("loop").isNull(), F.col("p")).alias("p"), F.col("p").alias("p0"), "named", "loop")
-    forest = cut(forest)
+    forest = cut(forest, links)  # read for the result too
     tour = cut(_tour(forest))
     ranked = _double(tour.select("e", "nxt", F.when(F.col("nxt").isNull(), 0).otherwise(F.col("w")).cast("bigint").alias("w"), F.when(F.col("nxt").isNull(), 0).otherwise(F.col("steps")).alias("steps")), "nxt", ["w", "steps"])
     # The sums now run up to, not including, the tour's last event, whose weight is -1.
@@ -152,7 +152,8 @@ def with_paths(rows: DataFrame) -> DataFrame:
         now = cut(
             now.join(right, F.expr("top = _v"), "left").select(
                 "v", F.col("_top").alias("top"), F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat("_path", "path")).alias("path")
-            )
+            ),
+            now,
         )
     return rows.join(now.select("v", F.concat("path", F.array("v")).alias("path")), "v")
 

@@ -74,6 +74,10 @@ def oracle_sql():
         + """SELECT k.ingest_seq, k.record_id, coalesce(k.ingest_seq > f.a, false) AS is_duplicate,
              CASE WHEN k.ingest_seq > f.a THEN r.record_id END AS duplicate_of
              FROM k LEFT JOIN f ON k.id = f.id LEFT JOIN k r ON r.ingest_seq = f.a""",
+        "p5_descendants": _LINKS
+        + """, cut AS (SELECT v, CASE WHEN v NOT IN (SELECT v FROM ring) THEN p END AS p FROM l),
+             anc AS (SELECT v, p AS a FROM cut WHERE p IS NOT NULL UNION ALL SELECT anc.v, cut.p FROM anc JOIN cut ON anc.a = cut.v WHERE cut.p IS NOT NULL)
+             SELECT a AS ancestor, v AS descendant FROM anc""",
         "p5_found": _LINKS
         + """, looped AS (
                SELECT v, root FROM low

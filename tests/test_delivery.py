@@ -54,3 +54,38 @@ def test_store_over_batches(spark, tmp_path):
     two = [(4, "<b>", 7), (5, "c", 7), (6, "c", 8), (7, "a", 1)]
     assert {tuple(r) for r in store.add(rows(spark, one)).collect()} == {(1, 3)}
     assert {tuple(r) for r in store.add(rows(spark, two)).collect()} == {(2, 4), (5, 6), (1, 7)}
+
+
+def test_store_after_a_crash(spark, tmp_path, monkeypatch):
+    """A batch whose mark was not set does not count, and can be added again."""
+    store = DeliveryStore(spark, str(tmp_path / "store"))
+    store.add(rows(spark, [(1, "a", 1)]))
+    files = DeliveryStore._files
+
+    def broken(self, where):
+        if "/done/" in where:
+            raise OSError("lost")
+        return files(self, where)
+
+    monkeypatch.setattr(DeliveryStore, "_files", broken)
+    try:
+        store.add(rows(spark, [(2, "b", 2), (3, "a", 2)]))
+        raise AssertionError
+    except OSError:
+        pass
+    monkeypatch.undo()
+    assert len(store.batches()) == 1
+    assert {tuple(r) for r in store.add(rows(spark, [(2, "b", 2), (3, "a", 2)])).collect()} == {(1, 3)}
+    assert {tuple(r) for r in store.add(rows(spark, [(4, "B", 3)])).collect()} == {(2, 4)}
+
+
+def test_unreadable_store_is_an_error(spark, tmp_path):
+    import shutil
+
+    import pytest
+
+    store = DeliveryStore(spark, str(tmp_path / "store"))
+    store.add(rows(spark, [(1, "a", 1)]))
+    shutil.rmtree(tmp_path / "store" / "batches")
+    with pytest.raises(Exception, match="(?i)path"):
+        store.add(rows(spark, [(2, "a", 2)])).collect()

@@ -51,6 +51,17 @@ def normalize_email(c: Column | str) -> Column:
     return F.nullif(F.lower(F.regexp_replace(strip(c), r"\A[<>]+|[<>]+\z", "")), F.lit(""))
 
 
+def folder_path(c: Column | str) -> Column:
+    """A path with slashes between its parts, without empty ones and ".": as folders are stored."""
+    parts = F.split(F.replace(col(c), F.lit("\\"), F.lit("/")), "/", -1)
+    return F.array_join(F.filter(parts, lambda p: ~p.isin("", ".")), "/")
+
+
+def folder_filter(c: Column | str) -> Column:
+    """What a request for a folder is compared by: slashes, none at the ends, lower case."""
+    return F.lower(F.btrim(F.replace(col(c), F.lit("\\"), F.lit("/")), F.lit("/")))
+
+
 def reply_forward(c: Column | str) -> Column:
     t = strip(F.lower(col(c)))
     return F.when(t.rlike(rf"\A(?:{FORWARD})[{WS}]*[:：]"), "forward").when(t.rlike(rf"\A(?:{REPLY})[{WS}]*[:：]"), "reply")

@@ -40,6 +40,7 @@ def mail_frame(messages: DataFrame) -> DataFrame:
         text("body_text_raw").alias("body"), text("body_text_clean").alias("clean_body"), text("sender_email").alias("from_email"), many("to_emails").alias("to_emails"), many("cc_emails").alias("cc_emails"), many("bcc_emails").alias("bcc_emails"),
         text("source_folder").alias("folder_path"), text("source_folder").alias("cluster_name"), text("llm_topic").alias("llm_topic"), text("llm_subtopic").alias("llm_subtopic"), F.lit("").alias("knowledge_topic"), F.lit("").alias("knowledge_subtopic"),
         F.when(F.col("is_duplicate"), "True").otherwise("False").alias("is_filtered"),
+        text("parent_record_message_id").alias("parent_record_message_id"), "nested_depth", text("container_attachment_filename").alias("container_attachment_filename"),
     )
 
 
@@ -242,7 +243,7 @@ def contains_pattern(value: str) -> str:
 
 
 def search(mail: DataFrame, topic: str | None = None, person: str | None = None, query: str | None = None, limit: int | None = 50) -> DataFrame:
-    """Filter by topic, person and text, score, and rank; ties go by date, then message id and order."""
+    """Filter by topic, person and text, score, and rank; ties go by date, then message id and order. With a limit the results are numbered in ``rank``."""
     mail = with_columns(mail, [*SEARCH_COLUMNS, "cc_emails", "bcc_emails", "body"])
     rows = preferred_topic(mail)
     if topic:
@@ -259,5 +260,8 @@ def search(mail: DataFrame, topic: str | None = None, person: str | None = None,
         hit(topic, F.col("topic"), 50) + hit(topic, F.col("subject"), 20) + hit(topic, subtopic, 25) + hit(person, F.col("from_email"), 40)
         + hit(person, F.concat_ws(" ", "to_emails", "cc_emails", "bcc_emails"), 15) + hit(query, F.col("subject"), 25) + hit(query, F.col("clean_body"), 10)
     )
-    rows = rows.withColumn("search_score", score).orderBy(F.desc("search_score"), F.desc_nulls_last("date_sort"), "message_id", "ingest_seq")
-    return rows if limit is None else rows.limit(limit)
+    order = [F.desc("search_score"), F.desc_nulls_last("date_sort"), "message_id", "ingest_seq"]
+    rows = rows.withColumn("search_score", score).orderBy(*order)
+    if limit is None:
+        return rows
+    return rows.limit(limit).withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))).orderBy("rank")  # limit rows only

@@ -45,12 +45,13 @@ def pack(mail: DataFrame, max_chars: int = MAX_CHARS, max_emails: int = MAX_EMAI
 
 
 def manifest(mail: DataFrame, packed: DataFrame) -> DataFrame:
-    """A row for each packed mail with its file and locator; slugs of topics are told apart by a number."""
+    """A row for each packed mail with its file and locator (19 columns and ``ingest_seq``); slugs of topics are told apart by a number."""
     slugs = packed.select("knowledge_topic").distinct().withColumn("slug", T.sanitize_filename(F.replace("knowledge_topic", F.lit(" "), F.lit("_")), "topic", 90))
     slugs = slugs.withColumn("n", F.row_number().over(Window.partitionBy(F.lower("slug")).orderBy("knowledge_topic"))).select("knowledge_topic", F.when(F.col("n") > 1, F.concat("slug", F.lit("_"), "n")).otherwise(F.col("slug")).alias("slug"))
     file = F.format_string("sources/%s__part_%03d.docx", "slug", "part")
-    return packed.join(slugs, "knowledge_topic").join(mail.select("ingest_seq", "message_id", "from_email", "subject", "knowledge_subtopic"), "ingest_seq").select(
-        "knowledge_topic", "knowledge_subtopic", file.alias("source_file"), F.concat(file, F.format_string(" / EMAIL %04d", "place")).alias("source_locator"), "part", "place", "ingest_seq", "message_id", "from_email", "subject"
+    return packed.join(slugs, "knowledge_topic").join(mail.drop("knowledge_topic", "chars"), "ingest_seq").select(
+        file.alias("source_file"), F.concat(file, F.format_string(" / EMAIL %04d", "place")).alias("source_locator"), "knowledge_topic", "knowledge_subtopic", "knowledge_score", "knowledge_mode", "knowledge_review_required", "message_id",
+        format_date("date_sort").alias("date"), "from_email", "subject", "folder_path", "parent_record_message_id", "nested_depth", "container_attachment_filename", "cluster_name", "llm_topic", "llm_confidence", "knowledge_matched_terms", "ingest_seq",
     )
 
 
@@ -65,7 +66,8 @@ def pack_topics(mail: DataFrame, packed: DataFrame) -> DataFrame:
 def part_headers(mail: DataFrame, packed: DataFrame) -> DataFrame:
     rows = packed.select("ingest_seq", "part").join(mail, "ingest_seq")
     base = rows.groupBy("knowledge_topic", "part").agg(F.count("*").alias("email_count"), format_date(F.min("date_sort")).alias("first_date"), format_date(F.max("date_sort")).alias("last_date"))
-    return base.join(top_values(rows.filter("from_email <> ''"), ["knowledge_topic", "part"], "from_email", 8, "top_people"), ["knowledge_topic", "part"], "left")
+    total = packed.groupBy("knowledge_topic").agg(F.max("part").alias("total_parts"))
+    return base.join(top_values(rows.filter("from_email <> ''"), ["knowledge_topic", "part"], "from_email", 8, "top_people"), ["knowledge_topic", "part"], "left").join(total, "knowledge_topic")
 
 
 def review_queue(mail: DataFrame, least_score: float = 4.0, least_body: int = 180) -> DataFrame:

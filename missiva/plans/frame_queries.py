@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from missiva.functions import text as T
 from missiva.operators import archive as A
+from missiva.operators import projections
 from missiva.operators.ordering import numbered
-from missiva.plans.mail_sql import MAIL, q, rx, strip, subject
+from missiva.plans.mail_sql import MAIL, TOPICS, flag_columns, jpart, language, q, rx, stable, strip, subject, ws as white, clean_from
 from missiva.session import table
 
 
@@ -67,19 +68,19 @@ def cluster_filename(spark, d):
 
 
 def raw_projection(spark, d):
-    mails = lambda c: F.array_join(F.filter(F.transform(c, lambda r: T.normalize_email(r["email"])), lambda x: x.isNotNull()), ";")
-    body = T.strip_control(F.coalesce("body_text_raw", F.lit("")))
-    return table(spark, d, "raw_messages").select(
-        "raw_id", F.coalesce("message_id", F.lit("")).alias("message_id"), F.coalesce("conversation_id", F.lit("")).alias("thread_id"), mails("to_recipients").alias("to_emails"), mails("cc_recipients").alias("cc_emails"),
-        F.initcap((F.size("attachment_payloads") > 0).cast("string")).alias("has_attachments"), F.size("attachment_payloads").alias("attachment_count"), T.word_count(body).cast("bigint").alias("word_count"),
-    )
+    return projections.raw_rows(table(spark, d, "raw_messages"))
 
 
 def message_projection(spark, d):
-    return table(spark, d, "raw_messages").select(
-        "raw_id", T.clean_header_id("message_id").alias("message_id"), T.normalize_subject("subject_raw").alias("subject_normalized"), T.normalize_email("sender_email").alias("sender_email"),
-        T.reply_forward("subject_raw").alias("reply_forward_indicator"), F.coalesce(F.nullif("in_reply_to", F.lit("")), F.try_element_at("reference_ids", F.lit(-1))).alias("parent_message_id"), (F.size("attachment_payloads") > 0).alias("has_attachments"),
-    )
+    rows = projections.message_records(table(spark, d, "raw_messages"), ["kedembenefit.example"], TOPICS)
+    lists = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "array<string>"]
+    return rows.drop("internet_headers").withColumns({c: F.array_join(c, ";") for c in lists})
+
+
+def normalize_folder(spark, d):
+    """The forms of a folder, from paths with backslashes, dots and empty parts."""
+    path = F.concat(F.lit("\\.\\"), F.replace("source_folder", F.lit("/"), F.lit("\\\\")), F.lit("/"))
+    return table(spark, d, "messages").select("ingest_seq", T.folder_path(path).alias("value"), T.folder_filter(F.concat(F.lit("/"), F.col("source_folder"), F.lit("\\"))).alias("wanted"))
 
 
 def cluster_writeback(spark, d):
@@ -111,7 +112,7 @@ def tag_messages(spark, d):
     return tag(_mail(spark, d), client).select("ingest_seq", "llm_topic", "llm_tags", "llm_confidence")
 
 
-_QUERIES = [limit_messages, load_clustered, topic_export, search_views, top_people, pack_order, received_date, headers_map, to_json_cells, cluster_filename, raw_projection, message_projection, cluster_writeback, csv_roundtrip, tag_messages]
+_QUERIES = [limit_messages, load_clustered, topic_export, search_views, top_people, pack_order, received_date, headers_map, to_json_cells, cluster_filename, raw_projection, message_projection, normalize_folder, cluster_writeback, csv_roundtrip, tag_messages]
 
 
 def queries():
@@ -122,10 +123,31 @@ def oracle_sql():
     date = "coalesce(strftime(date_sort AT TIME ZONE 'UTC', '%d/%m/%Y'), '')"
     email = lambda c: f"nullif(lower({rx(strip(c), '^[<>]+|[<>]+$')}), '')"
     many = lambda c: f"array_to_string(list_filter(list_transform({c}, lambda r: {email('r.email')}), lambda x: x IS NOT NULL), ';')"
+    found = lambda c: f"coalesce(array_to_string(list_filter(list_transform({c}, lambda r: r.email), lambda x: x <> ''), ';'), '')"
+    same = lambda *cs: ", ".join(f"coalesce({c}, '') AS {n}" for c, n in cs)
+    many_of = lambda c: f"coalesce(array_to_string({c}, ';'), '')"
     ws = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
     name = rx(rx(rx(rx("cluster_name", "[/ ]", "'_'"), r'[<>:"/\\|?*\x{00}-\x{1f}]', "'_'"), "_+", "'_'"), r"\A[ .]+|[ .]+\z")
     body = rx("coalesce(body_text_raw, '')", r"[\x{00}-\x{08}\x{0b}-\x{1f}]")
     reply = lambda kinds: f"regexp_matches({strip('lower(subject_raw)')}, {q(rf'^(?:{kinds})[{ws}]*[:：]')})"
+    made = stable(*(jpart(c) for c in ("source_pst", "source_folder", "subject_raw", "sent_at", "b")))
+    RAW = f"""WITH s AS (SELECT *, {white(body)} AS b FROM raw_messages)
+      SELECT raw_id, coalesce(nullif(message_id, ''), substr({made}, 1, 24)) AS message_id, coalesce(nullif(conversation_id, ''), nullif(in_reply_to, ''), '') AS thread_id, nested_depth,
+        {same(('parent_record_message_id', 'parent_record_message_id'), ('container_attachment_filename', 'container_attachment_filename'), ('subject_raw', 'subject'), ('sender_email', 'from_email'))}, b AS body,
+        {found('to_recipients')} AS to_emails, {found('cc_recipients')} AS cc_emails, {found('bcc_recipients')} AS bcc_emails, coalesce(nullif(sent_at, ''), nullif(received_at, ''), '') AS date, source_folder AS folder_path,
+        coalesce(len(attachment_payloads), 0) > 0 AS has_attachments, CAST(coalesce(len(attachment_payloads), 0) AS INT) AS attachment_count,
+        coalesce(CAST(to_json(list_transform(attachment_payloads, lambda a: {{'filename': a.filename, 'content_type': a.content_type, 'size': octet_length(a.payload)}})) AS VARCHAR), '[]') AS attachment_metadata, {many_of('flags')} AS flags,
+        CASE WHEN b = '' THEN 0 ELSE len(regexp_split_to_array(b, {q(f'[{ws}]+')})) END AS word_count, source_pst, 'eml' AS extractor, {many_of('extraction_errors')} AS extraction_errors FROM s"""
+    kept = [c for c in projections.KEPT if c not in ("internet_headers", "reference_ids", "flags", "categories", "extraction_errors")]
+    rec = stable(*(jpart(c) for c in ("source_pst", "source_folder", "message_id", "sent_at", "sender_email", "subject_normalized", "content_hash")))
+    RECORDS = clean_from("raw_messages", "raw_id") + f""", j AS (SELECT raw_messages.*, {subject('subject_raw')} AS subject_normalized, cleaned.text AS body_text_clean, cleaned.mostly_quoted, cleaned.notes AS processing_notes FROM raw_messages JOIN cleaned USING (raw_id)),
+      h AS (SELECT *, sha256(lower(subject_normalized || chr(10) || {strip("coalesce(nullif(body_text_clean, ''), body_text_raw, '')")})) AS content_hash, lower(subject_normalized || chr(10) || body_text_clean) AS low, coalesce(nullif(body_text_clean, ''), body_text_raw, '') AS shown, coalesce(sender_email, '') AS from_email FROM j),
+      f AS (SELECT *, {flag_columns('low')} FROM h)
+      SELECT raw_id, substr({rec}, 1, 24) AS record_id, {", ".join(kept)}, array_to_string(reference_ids, ';') AS reference_ids, array_to_string(flags, ';') AS flags, array_to_string(categories, ';') AS categories, array_to_string(extraction_errors, ';') AS extraction_errors,
+        subject_normalized, {email('sender_email')} AS sender_email, coalesce({many('to_recipients')}, '') AS to_emails, coalesce({many('cc_recipients')}, '') AS cc_emails, coalesce({many('bcc_recipients')}, '') AS bcc_emails, body_text_clean, {language('shown')} AS language,
+        coalesce(len(attachment_payloads), 0) > 0 AS has_attachments, CAST(coalesce(len(attachment_payloads), 0) AS INT) AS attachment_count, CASE WHEN {reply('fw|fwd|הועבר|העברה')} THEN 'forward' WHEN {reply('re|תגובה|השב')} THEN 'reply' END AS reply_forward_indicator,
+        coalesce(nullif(in_reply_to, ''), reference_ids[-1]) AS parent_message_id, mostly_quoted, content_hash, intent AS possible_intent, topic AS possible_topic, complaint AS complaint_indicator, request AS request_indicator, urgent AS urgency_indicator, question AS has_question, sender_type AS likely_sender_type, processing_notes FROM
+        (SELECT *, CASE WHEN complaint THEN 'complaint' WHEN urgent AND request THEN 'urgent_request' WHEN request THEN 'request' WHEN question THEN 'question' ELSE 'unknown' END AS intent FROM f)"""
     return {
         "limit_messages": "SELECT ingest_seq, message_id FROM messages ORDER BY ingest_seq LIMIT 100",
         "load_clustered": MAIL + f"SELECT ingest_seq, cluster_name, {date} AS date FROM mail WHERE lower(is_filtered) <> 'true'",
@@ -137,8 +159,9 @@ def oracle_sql():
         "headers_map": "SELECT ingest_seq, coalesce(subject_raw, '') || chr(10) || 'again' AS subject, element_at(internet_headers, 'Importance')[1] AS importance, CAST(1 + coalesce(cardinality(internet_headers), 0) AS INT) AS n FROM messages",
         "to_json_cells": "SELECT ingest_seq, CAST(to_json(to_emails) AS VARCHAR) AS value FROM messages",
         "cluster_filename": MAIL + f", s AS (SELECT DISTINCT cluster_name, coalesce(nullif({name}, ''), 'cluster') AS slug FROM mail), n AS (SELECT *, row_number() OVER (PARTITION BY lower(slug) ORDER BY cluster_name) AS n FROM s) SELECT cluster_name, slug || CASE WHEN n > 1 THEN '_' || n ELSE '' END || '.txt' AS file FROM n",
-        "raw_projection": f"SELECT raw_id, coalesce(message_id, '') AS message_id, coalesce(conversation_id, '') AS thread_id, {many('to_recipients')} AS to_emails, {many('cc_recipients')} AS cc_emails, CASE WHEN len(attachment_payloads) > 0 THEN 'True' ELSE 'False' END AS has_attachments, CAST(len(attachment_payloads) AS INT) AS attachment_count, CASE WHEN {strip(body)} = '' THEN 0 ELSE len(regexp_split_to_array({strip(body)}, {q(f'[{ws}]+')})) END AS word_count FROM raw_messages",
-        "message_projection": f"SELECT raw_id, nullif({rx(strip('message_id'), '^[<>]+|[<>]+$')}, '') AS message_id, {subject('subject_raw')} AS subject_normalized, {email('sender_email')} AS sender_email, CASE WHEN {reply('fw|fwd|הועבר|העברה')} THEN 'forward' WHEN {reply('re|תגובה|השב')} THEN 'reply' END AS reply_forward_indicator, coalesce(nullif(in_reply_to, ''), reference_ids[-1]) AS parent_message_id, len(attachment_payloads) > 0 AS has_attachments FROM raw_messages",
+        "raw_projection": RAW,
+        "message_projection": RECORDS,
+        "normalize_folder": "SELECT ingest_seq, array_to_string(list_filter(string_split(source_folder, '/'), lambda p: p NOT IN ('', '.')), '/') AS value, lower(trim(source_folder, '/')) AS wanted FROM messages",
         "cluster_writeback": MAIL + "SELECT ingest_seq, CASE WHEN is_filtered <> 'True' THEN upper(cluster_name) ELSE '' END AS label FROM mail",
         "csv_roundtrip": MAIL + "SELECT ingest_seq, subject, length(body) AS chars, from_email FROM mail",
         "tag_messages": MAIL + "SELECT ingest_seq, CASE WHEN contains(lower(subject || chr(10) || substr(coalesce(nullif(clean_body, ''), body), 1, 6000)), 'payment') THEN 'mail' ELSE 'unknown' END AS llm_topic, CASE WHEN contains(lower(subject || chr(10) || substr(coalesce(nullif(clean_body, ''), body), 1, 6000)), 'payment') THEN 'a' ELSE '' END AS llm_tags, CASE WHEN contains(lower(subject || chr(10) || substr(coalesce(nullif(clean_body, ''), body), 1, 6000)), 'payment') THEN 0.5 END AS llm_confidence FROM mail",

@@ -295,7 +295,7 @@ def row_topic(spark, d):
 
 
 def search_topic(spark, d):
-    return A.search(_mail(spark, d), topic="Inbox", limit=50).select("ingest_seq", "search_score")
+    return A.search(_mail(spark, d), topic="Inbox", limit=50).select("rank", "ingest_seq", "search_score")
 
 
 def search_person(spark, d):
@@ -307,7 +307,7 @@ def search_query(spark, d):
 
 
 def search_ranked(spark, d):
-    return A.search(_mail(spark, d), topic="claims", person="kedembenefit", query="salary slip", limit=20).select("ingest_seq", "search_score")
+    return A.search(_mail(spark, d), topic="claims", person="kedembenefit", query="salary slip", limit=20).select("rank", "ingest_seq", "search_score")
 
 
 # ---- classification and packs
@@ -343,7 +343,10 @@ def pack_excluded(spark, d):
     return _classified(spark, d).filter(~P.included()).select("ingest_seq")
 
 
-_PACK_COLUMNS = ["ingest_seq", "message_id", "date_sort", "from_email", "subject", "knowledge_topic", "knowledge_subtopic"]
+_PACK_COLUMNS = [
+    "ingest_seq", "message_id", "date_sort", "from_email", "subject", "folder_path", "cluster_name", "parent_record_message_id", "nested_depth", "container_attachment_filename", "llm_topic", "llm_confidence",
+    "knowledge_topic", "knowledge_subtopic", "knowledge_score", "knowledge_mode", "knowledge_review_required", "knowledge_matched_terms",
+]
 
 
 def _packed(spark, d):

@@ -75,7 +75,8 @@ WITH mail AS (
     coalesce(body_text_raw, '') AS body, coalesce(body_text_clean, '') AS clean_body, coalesce(sender_email, '') AS from_email,
     coalesce(array_to_string(to_emails, ';'), '') AS to_emails, coalesce(array_to_string(cc_emails, ';'), '') AS cc_emails, coalesce(array_to_string(bcc_emails, ';'), '') AS bcc_emails,
     coalesce(source_folder, '') AS folder_path, coalesce(source_folder, '') AS cluster_name, coalesce(llm_topic, '') AS llm_topic, coalesce(llm_subtopic, '') AS llm_subtopic,
-    CASE WHEN is_duplicate THEN 'True' ELSE 'False' END AS is_filtered
+    CASE WHEN is_duplicate THEN 'True' ELSE 'False' END AS is_filtered,
+    coalesce(parent_record_message_id, '') AS parent_record_message_id, nested_depth, coalesce(container_attachment_filename, '') AS container_attachment_filename
   FROM messages)
 """
 
@@ -126,7 +127,8 @@ def _search(topic=None, person=None, query=None, limit=None) -> str:
         where.append(like(text, query))
         score += [hit("subject", query, 25), hit("clean_body", query, 10)]
     end = f" ORDER BY search_score DESC, date_sort DESC NULLS LAST, message_id, ingest_seq LIMIT {limit}" if limit else ""
-    return MAIL + f"SELECT ingest_seq, search_score FROM (SELECT *, {' + '.join(score)} AS search_score FROM mail WHERE {' AND '.join(where)}){end}"
+    rank = "CAST(row_number() OVER (ORDER BY search_score DESC, date_sort DESC NULLS LAST, message_id, ingest_seq) AS INT) AS rank, " if limit else ""
+    return MAIL + f"SELECT {rank}ingest_seq, search_score FROM (SELECT *, {' + '.join(score)} AS search_score FROM mail WHERE {' AND '.join(where)}){end}"
 
 
 def _fallback_subtopic() -> str:
@@ -224,6 +226,23 @@ def _rules() -> str:
     """
 
 
+def flag_columns(low: str) -> str:
+    """The flags of the text ``low`` and the topic and kind of sender, as columns."""
+    kind = f"CASE WHEN lower(substr(from_email, instr(from_email, '@') + 1)) = 'kedembenefit.example' THEN 'internal_staff' ELSE {_ordered_case(low, A.SENDER_TYPES, q('unknown'))} END"
+    told = {"complaint": word(low, A.COMPLAINT), "request": word(low, A.REQUEST), "urgent": word(low, A.URGENT), "question": f"(contains({low}, '?') OR contains({low}, '؟') OR {word(low, A.QUESTION)})", "sender_type": kind, "topic": _ordered_case(low, TOPICS, q("unknown"))}
+    return ", ".join(f"{e} AS {n}" for n, e in told.items())
+
+
+def language(c: str) -> str:
+    s = f"substr({c}, 1, 4000)"
+    return f"CASE WHEN {matching(s, '[א-ת]')} > {matching(s, '[a-zA-Z]')} AND {matching(s, '[א-ת]')} > 5 THEN 'he' WHEN {matching(s, '[a-zA-Z]')} > 5 THEN 'en' END"
+
+
+def clean_from(table: str, key: str) -> str:
+    """A query that begins with ``cleaned``: key, text, mostly_quoted, notes."""
+    return "WITH cleaned AS (" + _clean().replace("FROM messages", f"FROM {table}").replace("ingest_seq", key) + ")"
+
+
 def _clean() -> str:
     """The cleaner over lists of lines."""
     line = lambda x: strip(x)
@@ -352,9 +371,9 @@ def statements() -> dict[str, str]:
         "review_queue": _rules() + ", v AS (SELECT *, array_to_string(list_filter([CASE WHEN knowledge_review_required THEN 'manual_review' END, CASE WHEN knowledge_score < 4.0 THEN 'low_score' END, " + f"CASE WHEN {strip('subject')} = '' THEN 'missing_subject' END, CASE WHEN length(coalesce(nullif(clean_body, ''), body)) < 180 THEN 'short_body' END], lambda z: z IS NOT NULL), '; ') AS review_reason FROM cl) SELECT ingest_seq, review_reason, knowledge_topic, CAST(knowledge_score AS DOUBLE) AS knowledge_score, message_id, from_email, subject FROM v WHERE review_reason <> ''",
         "render_email": _rules() + _rendered() + " SELECT ingest_seq, text FROM r",
         "greedy_pack": _packs() + "SELECT knowledge_topic, ingest_seq, part, place, chars FROM packed",
-        "manifest": _packs() + f", mf AS (SELECT full_rows.*, printf('sources/%s__part_%03d.docx', slug, part) AS source_file FROM full_rows JOIN slugs USING (knowledge_topic)) SELECT knowledge_topic, knowledge_subtopic, source_file, source_file || printf(' / EMAIL %04d', place) AS source_locator, part, place, ingest_seq, message_id, from_email, subject FROM mf",
+        "manifest": _packs() + f", mf AS (SELECT full_rows.*, printf('sources/%s__part_%03d.docx', slug, part) AS source_file FROM full_rows JOIN slugs USING (knowledge_topic)) SELECT source_file, source_file || printf(' / EMAIL %04d', place) AS source_locator, knowledge_topic, knowledge_subtopic, CAST(knowledge_score AS DOUBLE) AS knowledge_score, 'rules' AS knowledge_mode, knowledge_review_required, message_id, {date_text('date_sort')} AS date, from_email, subject, folder_path, parent_record_message_id, nested_depth, container_attachment_filename, cluster_name, llm_topic, CAST(NULL AS DOUBLE) AS llm_confidence, knowledge_matched_terms, ingest_seq FROM mf",
         "pack_topics": _packs() + f"SELECT f.knowledge_topic, count(*) AS email_count, max(part) AS source_file_count, {date_text('min(date_sort)')} AS first_date, {date_text('max(date_sort)')} AS last_date, any_value(top_people) AS top_people, any_value(top_subtopics) AS top_subtopics FROM full_rows f LEFT JOIN {_tops('knowledge_topic', 'from_email', 8, 'top_people', 'from_email <> ' + q(''))} p USING (knowledge_topic) LEFT JOIN " + _tops("knowledge_topic", "knowledge_subtopic", 5, "top_subtopics", shown="knowledge_subtopic || ' (' || n || ')'") + " u USING (knowledge_topic) GROUP BY 1",
-        "part_header": _packs() + f"SELECT f.knowledge_topic, f.part, count(*) AS email_count, {date_text('min(date_sort)')} AS first_date, {date_text('max(date_sort)')} AS last_date, any_value(top_people) AS top_people FROM full_rows f LEFT JOIN {_tops('knowledge_topic, part', 'from_email', 8, 'top_people', 'from_email <> ' + q(''))} p USING (knowledge_topic, part) GROUP BY 1, 2",
+        "part_header": _packs() + f"SELECT f.knowledge_topic, f.part, count(*) AS email_count, {date_text('min(date_sort)')} AS first_date, {date_text('max(date_sort)')} AS last_date, any_value(top_people) AS top_people, any_value(total_parts) AS total_parts FROM full_rows f JOIN (SELECT knowledge_topic, max(part) AS total_parts FROM packed GROUP BY 1) USING (knowledge_topic) LEFT JOIN {_tops('knowledge_topic, part', 'from_email', 8, 'top_people', 'from_email <> ' + q(''))} p USING (knowledge_topic, part) GROUP BY 1, 2",
         "pack_totals": _packs() + "SELECT count(*) AS emails, count(DISTINCT (knowledge_topic, part)) AS files FROM packed",
         "distinct_vectors": "SELECT count(DISTINCT list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 8))) AS vectors FROM embeddings",
     }

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -122,7 +123,7 @@ def weak_label(unit: str) -> int | None:
     return 1 if families(unit) else None
 
 
-_A = 1_000_003
+_BIN, _WIDE = BINS - 1, WIDTH - 1  # both are powers of two
 
 
 def _hash(w: str) -> int:
@@ -142,7 +143,7 @@ class Words:
                 self.known.clear()
             h = _hash(w)
             parts = (h, _hash("^" + w[:4]), _hash(w[-3:] + "$")) if len(w) > 3 else (h,)
-            got = self.known[w] = (h, tuple(x % WIDTH for x in parts))
+            got = self.known[w] = (h, tuple(SHAPES + (x & _WIDE) for x in parts))
         return got
 
 
@@ -156,7 +157,8 @@ _ODDS = (-1.0, -0.3, 0.3, 0.8, 1.3, 1.8, 2.4, 3.0, 3.6)
 
 
 def _band(x: float, edges: tuple) -> int:
-    return sum(x > e for e in edges)
+    """How many of the edges, in order, lie below x."""
+    return bisect_left(edges, x)
 
 
 # Ids of the features of shape and place; the hashed features of texts stand behind them.
@@ -179,13 +181,15 @@ class Unit:
         bare = _PLACES.sub(" PLACE ", unit) if names else unit
         found = _WORD.findall(bare.lower())
         self.n, self.odds, self.score = len(found), 0.0, 0.0
-        known = [words(w) for w in found]
-        h = [7, *(k[0] for k in known), 11]
-        pairs = {(x * _A + y) % 4_294_967_291 for x, y in zip(h, h[1:])}
-        self.bins = [x % BINS for x in {*h[1:-1], *pairs}]
+        get = words.known.get
+        known = {w: get(w) or words(w) for w in found}
+        h = [7, *[known[w][0] for w in found], 11]
+        pairs = set(map(hash, zip(h, h[1:])))  # of pairs of numbers: the same in every process
+        self.bins = [x & _BIN for x in {*h[1:-1], *pairs}]
         if not featured:
             return
-        self.text = [SHAPES + x for k in set(known) for x in k[1]] + [SHAPES + x % WIDTH for x in pairs]
+        self.text = [x for k in known.values() for x in k[1]]
+        self.text += [SHAPES + (x & _WIDE) for x in pairs]
         shape = [f"mark:{n}" for n in names]
         if names:
             shape.append("mark")
@@ -198,7 +202,7 @@ class Unit:
             shape.append("number first")
         if unit.isupper():
             shape.append("capitals")
-        if _PATH.search(unit):
+        if ("/" in unit or "(" in unit or "::" in unit or unit.count(".") > 1) and _PATH.search(unit):
             shape.append("path")
         if "<" in unit and ">" in unit:
             shape.append("markup")
@@ -222,7 +226,7 @@ class Parser:
 
     def __call__(self, text: str) -> list[tuple[str, Unit]]:
         out = []
-        for u in map(fold, units(text)):
+        for u in units(fold(text)):  # the same units as those of the text, folded: figures begin and end no sentence
             got = self.kept.get(u)
             if got is None:
                 got = Unit(u, self.words, self.featured)
@@ -268,7 +272,7 @@ def _places(odds: np.ndarray):
     table = odds.tolist()
 
     def then(x: Unit) -> None:
-        x.odds = _band(sum(table[i] for i in x.bins) / len(x.bins), _ODDS) if x.bins else 0
+        x.odds = _band(sum(map(table.__getitem__, x.bins)) / len(x.bins), _ODDS) if x.bins else 0
 
     return then
 
@@ -456,7 +460,7 @@ def score_documents(docs: DataFrame, model: LinearModel, key: str = "doc_id", te
 
         def then(x: Unit) -> None:
             place(x)
-            x.score = m.bias + sum(w[i] for i in x.shape) + sum(w[i] for i in x.text) + w[_ODDS_AT + x.odds]
+            x.score = m.bias + sum(map(w.__getitem__, x.shape)) + sum(map(w.__getitem__, x.text)) + w[_ODDS_AT + x.odds]
 
         parse = Parser(True, then)
         for pdf in batches:

@@ -211,3 +211,21 @@ def test_names_of_one_sender_and_of_none(spark):
     df = spark.createDataFrame(rows + [(200, text, None, None, None)], schema)
     got = {text[r.start_at : r.end_at] for r in P.personal_items(df).filter("ingest_seq = 200").collect()}
     assert got == {"Brunhilde", "Zephyrine Quorvex", "Anna van Telmark", "Quorvex"}
+
+
+def test_names_beyond_those_held(spark, monkeypatch):
+    """Name words and whole names that do not fit into memory are known all the same."""
+    schema = "ingest_seq long, body_text_raw string, subject_raw string, sender_name string, sender_email string"
+    shared = [("Dana Morvane", "dana.morvane"), ("Dana Orblin", "dana.orblin"), ("Uri Morvane", "uri.morvane"), ("Uri Orblin", "uri.orblin")]
+    rows = [(k, f"Dear {n.split()[0]},\n\nThe fund has the updates for {n}, as said by the pension fund.\n\nKedem Benefit Fund\n{n}", None, n, f"{m}@x.example") for k, (n, m) in enumerate(shared * 15)]
+    rows += [(100 + k, f"Hello all,\n\nSomething else {k}.", None, n, e) for k, (n, e) in enumerate([("Zephyrine Quorvex", "z@x.example"), ("Anna van Telmark", "a@x.example"), ("Anna van Telmark Ostrell", "o@x.example"), ("Fund Updates", "fund.updates@x.example")])]
+    text = "Zephyrine Quorvex saw Anna van Telmark and Anna van Telmark Ostrell. Quorvex wrote of the Kedem Benefit Fund to Ostrell."
+    df = spark.createDataFrame(rows + [(200, text, None, None, None)], schema)
+    everything = lambda names: [(c, P.features(text, c, names)) for c in P.candidates(text, names)]
+    found = lambda: {(r.ingest_seq, r.field, r.pii_type, r.start_at, r.end_at) for r in P.personal_items(df).collect()}
+    want, items = everything(P.fit_names(df)), found()
+    assert {text[c[2] : c[3]] for c, _ in want} >= {"Zephyrine Quorvex", "Anna van Telmark", "Anna van Telmark Ostrell", "Quorvex", "Ostrell"}
+    for held in (0, 1, 4):
+        monkeypatch.setattr(P, "NAME_WORDS", held)
+        assert everything(P.fit_names(df)) == want, held
+    assert found() == items

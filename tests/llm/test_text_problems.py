@@ -27,6 +27,20 @@ def test_chains_undo_damage():
     assert "relevé" in E.readings(twice).values()
 
 
+def test_margin_of_all_clean_records(spark):
+    """The margin is counted over every clean record, and each is damaged the same way wherever it lies."""
+    texts = [f"{t} {k}" for k in range(60) for t in (*HEBREW, *FRENCH)] * 12
+    df = spark.createDataFrame([(k, None, t) for k, t in enumerate(texts)], "row_id long, subject string, body string")
+    long = E.fields_long(df, "row_id", ["subject", "body"])
+    model = E.fit_ngrams(long)
+    clean, bad = sum(E.looks_clean(t) for t in texts), sum(E.hurt(t) is not None for t in texts if E.looks_clean(t))
+    for parts in (1, 7):
+        got = E._judge(long.repartition(parts), model).filter("n IS NOT NULL").groupBy("hurt").sum("n").collect()
+        assert {r[0]: r[1] for r in got} == {False: clean, True: bad} and clean > 2000 and bad > 2000
+    assert E.best_margin({(False, 0): 5, (False, 3): 5, (True, 4): 5, (True, 5): 5})[0] == 6.0
+    assert E.best_margin({})[0] == 12.0
+
+
 def test_find_garbled(spark):
     rng = random.Random(1)
     rows, want = [], set()
